@@ -46,3 +46,16 @@ def sentences(text) -> Column:
 def safe_ratio(num, den) -> Column:
     """num / den with null for a zero denominator (ANSI-safe)."""
     return F.try_divide(c(num).cast("double"), c(den).cast("double"))
+
+
+def explode_rows(arr, *names: str):
+    """``explode_outer`` / ``posexplode_outer``; callers drop the null row.
+
+    A plain ``explode`` makes Catalyst infer ``size(arr) > 0`` on the
+    generator input and push it below earlier projections with the array
+    expression inlined, so a token array built by a regex over the text was
+    re-evaluated inside every lambda of the filter.  The outer variants infer
+    nothing."""
+    if len(names) == 2:
+        return F.posexplode_outer(c(arr)).alias(*names)
+    return F.explode_outer(c(arr)).alias(*names)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import global_row_number
-from ..functions.text import alpha_lower, c, safe_ratio, word_tokens
+from ..functions.text import alpha_lower, c, explode_rows, safe_ratio, word_tokens
 
 
 def vocab_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -87,7 +87,7 @@ def term_stats(tokens: DataFrame, *, id_col: str = "doc_id", tokens_col: str = "
     is spread over ``salt`` tasks and a document still lands in exactly one of
     them, so per-salt distinct counts add up.  The second shuffle carries at
     most ``salt`` rows per term."""
-    ex = tokens.select(id_col, F.explode(tokens_col).alias("term")).withColumn(
+    ex = tokens.select(id_col, explode_rows(tokens_col, "term")).filter(F.col("term").isNotNull()).withColumn(
         "_salt", F.pmod(F.xxhash64(id_col), F.lit(salt))
     )
     part = ex.groupBy("term", "_salt").agg(
