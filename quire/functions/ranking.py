@@ -6,6 +6,13 @@ shuffle: rows are range-partitioned and sorted on the order keys, each
 partition numbers its rows locally (``monotonically_increasing_id`` is
 sequential inside a partition) and adds the row count of all earlier
 partitions.  The only small table is one row per partition.
+
+The range-sorted rows are written once with ``checkpoint()`` (to the shared
+``spark.checkpoint.dir``).  Range bounds come from sampling the input, and the
+row order of a shuffled input is not deterministic, so two separate range
+exchanges (one for the counts, one for the rows) could cut the data at
+different places; after the checkpoint both read the same partitions, and a
+lost executor re-reads files instead of re-sampling.
 """
 
 from __future__ import annotations
@@ -22,7 +29,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
     by *order)``.  ``order`` must be a total order (end with a unique key) so
     the numbering is deterministic under task retries."""
     n = partitions or target_partitions(df)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id()
     )
