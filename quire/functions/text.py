@@ -43,6 +43,17 @@ def sentences(text) -> Column:
     return F.filter(F.transform(F.split(marked, "\u0001"), lambda s: F.trim(s)), lambda s: s != "")
 
 
+NUDGE = 1e-9
+
+
+def stable_round(x, digits: int) -> Column:
+    """Round after adding 1e-9.  Ratios of small integers often sit exactly on
+    a decimal half (0.5075 = 203/400), where rounding the binary value and
+    rounding its shortest decimal form disagree; the nudge moves such values
+    off the tie so every engine rounds them up."""
+    return F.round(c(x) + F.lit(NUDGE), digits)
+
+
 def safe_ratio(num, den) -> Column:
     """num / den with null for a zero denominator (ANSI-safe)."""
     return F.try_divide(c(num).cast("double"), c(den).cast("double"))
