@@ -134,3 +134,43 @@ def prob_histogram(pred: DataFrame, width: float = 0.05, *, p: str = "p", y: str
     nbins = int(round(1.0 / width))
     b = F.least(F.floor(F.col(p) / width), F.lit(nbins - 1)).cast("long")
     return pred.groupBy(b.alias("bin"), F.col(y).alias("cls")).agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+# ----------------------------------------------------------------- models
+
+
+def fit_logistic(train: DataFrame, *, features: str = "features", label: str = "y", reg: float = 0.0,
+                 max_iter: int = 100):
+    """L5 (``reg=0``: maximum likelihood with intercept) / L6 (``reg>0``)."""
+    from pyspark.ml.classification import LogisticRegression
+
+    return LogisticRegression(featuresCol=features, labelCol=label, regParam=reg, maxIter=max_iter).fit(train)
+
+
+def fit_mlp(train: DataFrame, layers: list[int], *, features: str = "features", label: str = "y",
+            max_iter: int = 100, seed: int = 599, block_size: int = 32):
+    """Feed-forward network (sigmoid hidden layers, softmax output,
+    L-BFGS); ``layers`` = [inputs, hidden..., classes]."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+
+    return MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, layers=layers, maxIter=max_iter,
+                                          seed=seed, blockSize=block_size).fit(train)
+
+
+def predict(model, df: DataFrame, *, threshold: float = 0.5, id_col: str = "vec_id", label: str = "y") -> DataFrame:
+    """Probability of class 1 and the thresholded prediction."""
+    from pyspark.ml.functions import vector_to_array
+
+    out = model.transform(df).select(id_col, F.col(label).alias("y"),
+                                     vector_to_array("probability")[1].alias("p"))
+    return out.withColumn("yhat", (F.col("p") > threshold).cast("int"))
+
+
+def evaluate(model, sets: dict[str, DataFrame], **kw) -> DataFrame:
+    """One fitted model scored on several sets in one grouped
+    evaluation ``(set, accuracy, n)``."""
+    parts = None
+    for name, df in sets.items():
+        p = predict(model, df, **kw).withColumn("set", F.lit(name))
+        parts = p if parts is None else parts.unionByName(p)
+    return accuracy(parts, group=("set",))

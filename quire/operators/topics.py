@@ -253,15 +253,17 @@ def lsi(vectors: DataFrame, k: int, *, features: str = "features", id_col: str =
 
 
 def nmf(x: DataFrame, k: int, *, max_iter: int = 50, tol: float = 1e-4, seed: int = 222, id_col: str = "doc_id",
-        eps: float = 1e-9, checkpoint_every: int = 5):
+        eps: float = 1e-9):
     """M5 (Lee & Seung 2001, Frobenius): ``x`` is the long non-negative matrix
     ``(doc_id, term_id, value)``.  W rows stay distributed as an array per
     document; H (k x V), W'W and W'X are the only collected values (bounded by
     the model size k x V).  Hash-seeded start, multiplicative updates,
-    lineage cut with ``checkpoint()`` every few iterations.  Returns
+    lineage cut with ``checkpoint()`` (input once, W every iteration).  Returns
     ``(W (doc_id, w array), H numpy k x V, objective history)``."""
     import numpy as np
 
+    # the input is read several times per iteration: write it once
+    x = x.select(id_col, F.col("term_id").cast("int").alias("term_id"), F.col("value").cast("double").alias("value")).checkpoint()
     V = int(x.agg(F.max("term_id")).first()[0]) + 1
     docs = x.select(id_col).distinct()
     u = lambda j: (F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(j)), F.lit(1_000_003)).cast("double") / 1_000_003.0 + 0.01)
@@ -294,7 +296,9 @@ def nmf(x: DataFrame, k: int, *, max_iter: int = 50, tol: float = 1e-4, seed: in
         W2 = W.join(xh, id_col, "left").select(id_col, F.transform("w", lambda wi, i: wi * F.coalesce(F.col("xh")[i], F.lit(0.0)) / (
             F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.col("w")[j] * hht[j][i]),
                         F.lit(0.0), lambda a, b: a + b) + eps)).alias("w"))
-        W = W2.checkpoint() if (it + 1) % checkpoint_every == 0 else W2
+        # W is small (documents x k); writing it each iteration keeps every
+        # job's lineage one iteration deep
+        W = W2.checkpoint()
         # objective ||X - WH||^2 = ||X||^2 - 2 tr(W'XH') + tr(W'W HH')
         WtW2 = np.zeros((k, k))
         for r in W.select(F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(k - 1)).alias("i"), F.col("w").alias("wi"))).alias("z"), "w") \

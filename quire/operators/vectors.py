@@ -8,6 +8,8 @@ size check; beyond it the join is a shuffle join.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,3 +151,24 @@ def concat_vectors(a: DataFrame, b: DataFrame, *, id_col: str = "doc_id", col_a:
         id_col, F.concat("_a", "_b").alias("vec")
     )
 
+
+
+def dense_vectors(w: DataFrame, size: int, *, id_col: str = "doc_id", index_col: str = "term_id",
+                  value_col: str = "weight", out: str = "features") -> DataFrame:
+    """Long ``(doc_id, term_id, weight)`` rows to one ML dense vector per
+    document (``size`` columns).  Entries are grouped per document, then a
+    numpy scatter inside an Arrow-batched pandas UDF fills the vector (a map
+    lookup per column would be a linear scan per element)."""
+    from pyspark.ml.functions import array_to_vector
+
+    @F.pandas_udf("array<double>")
+    def scatter(idx: pd.Series, val: pd.Series) -> pd.Series:
+        out_rows = []
+        for i, v in zip(idx, val):
+            d = np.zeros(size)
+            d[np.asarray(i, dtype=np.int64)] = np.asarray(v, dtype=np.float64)
+            out_rows.append(d)
+        return pd.Series(out_rows)
+
+    g = w.groupBy(id_col).agg(F.collect_list(index_col).alias("_i"), F.collect_list(value_col).alias("_v"))
+    return g.select(id_col, array_to_vector(scatter("_i", "_v")).alias(out))

@@ -1,3 +1,12 @@
 """Importing this module registers every analysis."""
 
-from . import page_jobs, sentiment_jobs, text_jobs, topic_jobs, vector_jobs, vocab_jobs, word_jobs  # noqa: F401
+from . import (  # noqa: F401
+    model_jobs,
+    page_jobs,
+    sentiment_jobs,
+    text_jobs,
+    topic_jobs,
+    vector_jobs,
+    vocab_jobs,
+    word_jobs,
+)
