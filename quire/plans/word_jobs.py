@@ -248,23 +248,20 @@ def q_mismatch(spark, sf):
 
 
 def _chunks_sql() -> str:
-    code = "CASE WHEN x = 'DT' THEN 'D' WHEN starts_with(x, 'JJ') THEN 'J' WHEN starts_with(x, 'NN') THEN 'N' ELSE 'x' END"
+    def code(g: str) -> str:
+        return f"CASE WHEN {g} = 'DT' THEN 'D' WHEN starts_with({g}, 'JJ') THEN 'J' WHEN starts_with({g}, 'NN') THEN 'N' ELSE 'x' END"
+
+    atom = f"({code('tags[i]')}) || chr(2) || tok || chr(3)"
     return f"""
   tg AS (SELECT doc_id, t, list_transform(t, lambda x, i: {_rule_tag_sql('x', 'CASE WHEN i > 1 THEN t[i - 1] END')}) AS tags
          FROM (SELECT doc_id, {S.word_tokens('text')} AS t FROM documents)),
-  pc AS (SELECT doc_id, t, string_split(regexp_replace(array_to_string(list_transform(tags, lambda x: {code}), ''),
-                {_Q(A.CHUNK_PATTERN)}, chr(1) || '\\1' || chr(1), 'g'), chr(1)) AS pieces FROM tg),
-  sp AS (SELECT doc_id, t, list_transform(pieces, lambda p, i: {{'start': list_sum(list_transform(pieces[1:i - 1], lambda q: length(q))),
-                'len': length(p), 'is_chunk': i % 2 = 0}}) AS spans FROM pc),
-  ck AS (SELECT doc_id, t, list_filter(spans, lambda s: s.is_chunk AND s.len > 0) AS spans FROM sp),
-  chunks AS (SELECT doc_id, generate_subscripts(spans, 1) - 1 AS chunk_id, unnest(spans) AS s, t FROM ck)"""
+  atm AS (SELECT doc_id, array_to_string(list_transform(t, lambda tok, i: {atom}), '') AS s FROM tg),
+  mt AS (SELECT doc_id, list_transform(regexp_extract_all(s, {_Q(A.ATOM_CHUNK)}, 0),
+                lambda m: trim(regexp_replace(regexp_replace(m, '[DJN]' || chr(2), '', 'g'), chr(3), ' ', 'g'))) AS cs FROM atm),
+  chunks AS (SELECT doc_id, generate_subscripts(cs, 1) - 1 AS chunk_id, unnest(cs) AS text FROM mt)"""
 
 
-@register("A4_noun_chunks", sql=f"""
-WITH {_chunks_sql()}
-SELECT doc_id, chunk_id, coalesce((s).start, 0)::BIGINT AS start,
-       array_to_string(t[coalesce((s).start, 0) + 1:coalesce((s).start, 0) + (s).len], ' ') AS text FROM chunks
-""")
+@register("A4_noun_chunks", sql=f"WITH {_chunks_sql()} SELECT doc_id, chunk_id, text FROM chunks")
 def q_chunks(spark, sf):
     t = all_docs(spark, sf).select("doc_id", word_tokens("text").alias("tokens"))
     return A.noun_chunks(t.withColumn("tags", A.rule_tags("tokens")))
@@ -272,8 +269,7 @@ def q_chunks(spark, sf):
 
 @register("A4_chunk_list", sql=f"""
 WITH {_chunks_sql()}
-SELECT doc_id, string_agg(array_to_string(t[coalesce((s).start, 0) + 1:coalesce((s).start, 0) + (s).len], ' '), ' | ' ORDER BY chunk_id) AS chunks
-FROM chunks GROUP BY doc_id
+SELECT doc_id, string_agg(text, ' | ' ORDER BY chunk_id) AS chunks FROM chunks GROUP BY doc_id
 """)
 def q_chunk_list(spark, sf):
     t = all_docs(spark, sf).select("doc_id", word_tokens("text").alias("tokens"))
