@@ -225,30 +225,50 @@ def sweep(fit_fn, score_fn, ks) -> list[tuple[int, str, float]]:
 
 
 def lsi(vectors: DataFrame, k: int, *, features: str = "features", id_col: str = "doc_id"):
-    """M4: truncated SVD of the document-term matrix (``RowMatrix``).  Signs
-    are fixed so each concept's largest-magnitude loading is positive.
-    Returns ``(concepts (topic, term_id, weight), singular values, doc
-    coordinates (doc_id, topic, weight))``."""
+    """M4: truncated SVD of the document-term matrix X (documents x V).
+
+    One pass sums the per-partition Gram matrices X_p'X_p (``treeReduce``:
+    partial sums combine on executors, the result is V x V -- the model
+    size, independent of the number of documents); its top-k eigenvectors
+    are the right singular vectors, singular values are the square roots of
+    the eigenvalues, and document coordinates U = X V / s are computed
+    map-side with V broadcast.  Signs are fixed so each concept's
+    largest-magnitude loading is positive.  Returns ``(concepts (topic,
+    term_id, weight), singular values, doc coordinates (doc_id, topic,
+    weight))``."""
     import numpy as np
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-    from pyspark.ml.linalg import Vectors as MLV  # noqa: F401
 
     spark = vectors.sparkSession
-    rdd = vectors.select(id_col, features).rdd.map(
-        lambda r: IndexedRow(int(r[0]), __import__("pyspark.mllib.linalg", fromlist=["Vectors"]).Vectors.fromML(r[1])))
-    mat = IndexedRowMatrix(rdd)
-    svd = mat.computeSVD(k, computeU=True)
-    V = svd.V.toArray()  # n_terms x k: the model, bounded by the vocabulary size
-    s = svd.s.toArray()
+    rows = vectors.select(id_col, features).rdd
+
+    def part_gram(it):
+        block = [r[1].toArray() for r in it]
+        if not block:
+            return []
+        a = np.vstack(block)
+        return [a.T @ a]
+
+    gram = rows.mapPartitions(part_gram).treeReduce(lambda x, y: x + y)
+    vals, vecs = np.linalg.eigh(gram)
+    order = np.argsort(vals)[::-1][:k]
+    s = np.sqrt(np.clip(vals[order], 0.0, None))
+    V = vecs[:, order]
     signs = np.sign(V[np.abs(V).argmax(axis=0), range(V.shape[1])])
     signs[signs == 0] = 1
     V = V * signs
     concepts = spark.createDataFrame(
         [(int(j), int(t), float(V[t, j])) for j in range(V.shape[1]) for t in range(V.shape[0]) if V[t, j] != 0.0],
         "topic int, term_id int, weight double")
-    sig = [float(x) for x in signs]
-    coords = svd.U.rows.flatMap(lambda r: [(int(r.index), j, float(r.vector[j]) * sig[j]) for j in range(len(sig))])
-    docs = spark.createDataFrame(coords, f"{id_col} long, topic int, weight double")
+    vb = spark.sparkContext.broadcast((V / np.where(s > 0, s, 1.0)).tolist())
+
+    def coords(it):
+        proj = np.asarray(vb.value)
+        for r in it:
+            u = r[1].toArray() @ proj
+            for j in range(len(u)):
+                yield (int(r[0]), j, float(u[j]))
+
+    docs = spark.createDataFrame(rows.mapPartitions(coords), f"{id_col} long, topic int, weight double")
     return concepts, s, docs
 
 

@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     model_jobs,
+    more_jobs,
     page_jobs,
     sentiment_jobs,
     text_jobs,
