@@ -62,7 +62,8 @@ def confusion(pred: DataFrame, *, y: str = "y", yhat: str = "yhat", group: tuple
     labels = pred.select(F.col(y).alias("l")).union(pred.select(F.col(yhat).alias("l"))).distinct()
     grid = labels.withColumnRenamed("l", "actual").crossJoin(F.broadcast(labels.withColumnRenamed("l", "predicted")))
     if gcols:
-        grid = pred.select(*gcols).distinct().crossJoin(grid)
+        # groups x labels x labels: all three are distinct-value tables
+        grid = pred.select(*gcols).distinct().crossJoin(F.broadcast(grid))
     counts = pred.groupBy(*gcols, F.col(y).alias("actual"), F.col(yhat).alias("predicted")).agg(
         F.count(F.lit(1)).cast("long").alias("n"))
     return grid.join(counts, gcols + ["actual", "predicted"], "left").fillna(0, subset=["n"])

@@ -139,7 +139,8 @@ def topic_distances(topics: DataFrame) -> DataFrame:
     bc = t.alias("x").join(t.alias("y"), "term").filter(F.col("x.topic") < F.col("y.topic")).groupBy(
         F.col("x.topic").alias("a"), F.col("y.topic").alias("b")).agg(F.sum(F.col("x.s") * F.col("y.s")).alias("bc"))
     ids = topics.select("topic").distinct()
-    pairs = ids.alias("x").join(ids.alias("y"), F.col("x.topic") < F.col("y.topic")).select(
+    # K topic ids (the model size): broadcast
+    pairs = ids.alias("x").join(F.broadcast(ids.alias("y")), F.col("x.topic") < F.col("y.topic")).select(
         F.col("x.topic").alias("a"), F.col("y.topic").alias("b"))
     out = pairs.join(bc, ["a", "b"], "left")
     return out.select("a", "b", F.sqrt(F.greatest(1.0 - F.coalesce("bc", F.lit(0.0)), F.lit(0.0))).alias("hellinger"))
