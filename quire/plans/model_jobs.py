@@ -246,3 +246,38 @@ def q_stream(spark, sf):
     q = score_stream(document_stream(spark, sf), scorer, out, corpus_path(spark, f"stream_ckpt_{run}"))
     q.awaitTermination()
     return spark.read.parquet(out).select("doc_id", "score", "label")
+
+
+# ------------------------------------------------------------ oversampling
+
+def _binary(spark, sf) -> DataFrame:
+    """Embeddings with an imbalanced binary label: y = 1 for planted cluster 0."""
+    return emb(spark, sf).withColumn("y", (F.col("label") == 0).cast("int")).select("vec_id", "embedding", "y")
+
+
+@register("L13_smote")
+def q_smote(spark, sf):
+    from ..operators.knn import smote
+
+    return smote(_binary(spark, sf), k=5).select("base_id", "j", "embedding")
+
+
+@register("L14_adasyn")
+def q_adasyn(spark, sf):
+    from ..operators.knn import adasyn
+
+    return adasyn(_binary(spark, sf), k=5).select("base_id", "j", "embedding")
+
+
+@register("L15_smote_class_counts", sql="""
+SELECT cls, n FROM (
+  SELECT 0 AS cls, count(*) FILTER (WHERE label <> 0) AS n FROM embeddings
+  UNION ALL SELECT 1, count(*) FILTER (WHERE label = 0) + greatest(count(*) FILTER (WHERE label <> 0) - count(*) FILTER (WHERE label = 0), 0)
+  FROM embeddings)
+""")
+def q_smote_counts(spark, sf):
+    from ..operators.knn import smote
+
+    b = _binary(spark, sf)
+    synth = smote(b, k=5).select(F.lit(1).alias("y"))
+    return L.class_counts(b.select("y").unionByName(synth), col="y").withColumn("cls", F.col("cls").cast("int"))
