@@ -216,8 +216,7 @@ def q_predict(spark, sf):
 def q_evaluate(spark, sf):
     train, test = labelled_vectors(spark, sf)
     model = L.fit_logistic(train, reg=0.01)
-    pred = L.predict(model, test)
-    return L.confusion(pred)
+    return L.evaluate(model, {"train": train, "test": test, "all": train.unionByName(test)})
 
 
 @register("L2_shuffle", sql="SELECT count(*) AS n, count(DISTINCT doc_id) AS n_ids FROM documents")
