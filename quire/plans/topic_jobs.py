@@ -63,7 +63,13 @@ def _lang_ids(spark, sf) -> list[str]:
     return sorted(r[0] for r in Tables(spark, sf).documents.select("lang").distinct().collect())
 
 
-@register("M6_topic_words_wide")
+@register("M6_topic_words_wide", sql=f"""
+WITH {_LANG}, tw AS ({_top_sql('tp_lang', N_TOP)}),
+  tn AS (SELECT *, dense_rank() OVER (ORDER BY topic) AS k FROM tw)
+SELECT rank, max(term) FILTER (WHERE k = 1) AS "Topic # 01", max(term) FILTER (WHERE k = 2) AS "Topic # 02",
+       max(term) FILTER (WHERE k = 3) AS "Topic # 03", max(term) FILTER (WHERE k = 4) AS "Topic # 04"
+FROM tn GROUP BY rank
+""")
 def q_topic_words_wide(spark, sf):
     _, _, topics = model(spark, sf)
     return M.topic_words_wide(M.top_words(topics, N_TOP), _lang_ids(spark, sf))
