@@ -396,7 +396,17 @@ def q_edit(spark, sf):
     return j.select("c_custkey", FZ.edit_distance("c_name", "next_name").cast("long").alias("distance"))
 
 
-@register("F2_fuzzy_ratio")
+def _lcs_sql(a: str, b: str) -> str:
+    return (f"list_reduce(string_split({a}, ''), lambda prev, x: list_reduce(range(1, length({b}) + 1), "
+            f"lambda acc, j: list_append(acc, CASE WHEN {b}[j] = x THEN prev[j] + 1 ELSE greatest(prev[j + 1], acc[j]) END), [0]), "
+            f"list_transform(range(0, length({b}) + 1), lambda i: 0))[-1]")
+
+
+@register("F2_fuzzy_ratio", sql=f"""
+SELECT a.p_partkey, a.p_name, b.p_name AS next_name,
+       round(200.0 * {_lcs_sql('a.p_name', 'b.p_name')} / nullif(length(a.p_name) + length(b.p_name), 0))::BIGINT AS ratio
+FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1
+""")
 def q_ratio(spark, sf):
     p = Tables(spark, sf).part.select("p_partkey", "p_name")
     nxt = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("next_name"))
