@@ -21,7 +21,6 @@ from ..streaming.scoring import document_stream, score_stream
 from . import sentiment_jobs as SJ
 from .registry import Tables, register
 
-_EMB = "(SELECT vec_id, label, embedding FROM embeddings)"
 _CENTS = """
   ex AS (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings),
   cd AS (SELECT label, dim, avg(x) AS x FROM ex GROUP BY label, dim),

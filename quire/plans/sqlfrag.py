@@ -37,10 +37,5 @@ def ratio(num: str, den: str) -> str:
     return f"(({num})::DOUBLE / nullif(({den})::DOUBLE, 0))"
 
 
-def en_alpha_docs(extra_where: str = "") -> str:
-    """Alphabetic lower-case tokens of every document."""
-    return f"SELECT doc_id, lang, {alpha_lower(word_tokens('text'))} AS tokens FROM documents {extra_where}"
-
-
 def stable_round(x: str, digits: int) -> str:
     return f"round(({x}) + 1e-9, {digits})"
