@@ -224,7 +224,10 @@ def q_shuffle(spark, sf):
     return s.agg(F.count(F.lit(1)).cast("long").alias("n"), F.countDistinct("doc_id").cast("long").alias("n_ids"))
 
 
-@register("L3_sample")
+@register("L3_sample", sql="""
+SELECT doc_id, lang FROM documents
+WHERE ((doc_id + 11 * 7919)::DOUBLE * 0.6180339887498949) - floor((doc_id + 11 * 7919)::DOUBLE * 0.6180339887498949) < 0.25
+""")
 def q_sample(spark, sf):
     return L.sample(Tables(spark, sf).documents.select("doc_id", "lang"), 0.25, seed=11)
 
