@@ -64,3 +64,15 @@ def rank_of(df: DataFrame, key_col: str, key_value, order: list[tuple[str, bool]
     # the target side is one row: broadcast it, no shuffle of ``df``
     cnt = o.join(F.broadcast(t), before, "inner").agg(F.count(F.lit(1)).alias("_before"))
     return target.crossJoin(cnt).withColumn(name, (F.col("_before") + 1).cast("long")).drop("_before")
+
+
+def smallest_per_group(df: DataFrame, group_col: str, id_col: str, k: int, salts: int = 64) -> DataFrame:
+    """The k smallest ``id_col`` values of every group, with their rank.  Two
+    bounded steps -- per (group, salt), then per group over at most
+    ``salts * k`` survivors -- so a group holding a third of all rows is
+    never sorted in one task."""
+    s1 = df.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
+    s1 = s1.withColumn("_r1", F.row_number().over(Window.partitionBy(group_col, "_salt").orderBy(id_col)))
+    s2 = s1.filter(F.col("_r1") <= k)
+    s2 = s2.withColumn("rank", F.row_number().over(Window.partitionBy(group_col).orderBy(id_col)).cast("long"))
+    return s2.filter(F.col("rank") <= k).drop("_salt", "_r1")

@@ -173,61 +173,95 @@ def q_doc_weights(spark, sf):
 
 # ---------------------------------------------------------------- similarity
 
-_PAIRS = f"""
-  pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, sum(x.weight * y.weight) AS score
-            FROM wn x JOIN wn y ON x.term = y.term AND x.doc_id < y.doc_id
-            WHERE x.weight <> 0 AND y.weight <> 0
-            GROUP BY x.doc_id, y.doc_id HAVING sum(x.weight * y.weight) >= {PAIR_THRESHOLD} - 1e-12)"""
-
-
-def pairs(spark, sf) -> DataFrame:
-    return Y.pair_cosine(ratio_l2(spark, sf), PAIR_THRESHOLD)
+_CLASSES = f"""
+  sig AS (SELECT doc_id, list({{'term': term, 'w': round(weight, 9)}} ORDER BY term) AS sig FROM wn WHERE weight <> 0 GROUP BY doc_id),
+  grp AS (SELECT sig, min(doc_id) AS rep, count(*) AS n FROM sig GROUP BY sig),
+  mem AS (SELECT s.doc_id, g.rep FROM sig s JOIN grp g USING (sig)),
+  wr AS (SELECT * FROM wn WHERE weight <> 0 AND doc_id IN (SELECT rep FROM grp)),
+  rp AS (SELECT x.doc_id AS a, y.doc_id AS b, sum(x.weight * y.weight) AS score
+         FROM wr x JOIN wr y ON x.term = y.term AND x.doc_id < y.doc_id
+         GROUP BY x.doc_id, y.doc_id HAVING sum(x.weight * y.weight) >= {PAIR_THRESHOLD} - 1e-12),
+  classes AS (SELECT rp.a, rp.b, rp.score, ga.n AS n_a, gb.n AS n_b, ga.n * gb.n AS n_pairs
+              FROM rp JOIN grp ga ON ga.rep = rp.a JOIN grp gb ON gb.rep = rp.b
+              UNION ALL SELECT rep, rep, 1.0, n, n, n * (n - 1) // 2 FROM grp WHERE n > 1),
+  small AS (SELECT rep, doc_id AS m, r FROM (SELECT rep, doc_id, row_number() OVER (PARTITION BY rep ORDER BY doc_id) AS r FROM mem)
+            WHERE r <= 6),
+  docpairs AS (SELECT least(x.m, y.m) AS a, greatest(x.m, y.m) AS b, c.score FROM classes c
+               JOIN small x ON x.rep = c.a JOIN small y ON y.rep = c.b WHERE c.a <> c.b OR x.m < y.m)"""
+
+
+def classes(spark, sf):
+    return Y.pair_classes(ratio_l2(spark, sf), PAIR_THRESHOLD)
+
+
+@register("Y1_pair_cosine", sql=f"""
+WITH {_RATIO}, {_CLASSES}
+SELECT a, b, round(score, 6) AS score, n_a, n_b FROM classes WHERE a <> b
+""")
+def q_pairs(spark, sf):
+    c_, _ = classes(spark, sf)
+    return r6(c_.filter(F.col("a") != F.col("b")).select("a", "b", "score", "n_a", "n_b"), "score")
 
 
-@register("Y1_pair_cosine", sql=f"WITH {_RATIO}, {_PAIRS} SELECT a, b, round(score, 6) AS score FROM pairs")
-def q_pairs(spark, sf):
-    return r6(pairs(spark, sf), "score")
+@register("Y1_copy_groups", sql=f"""
+WITH {_RATIO}, {_CLASSES}
+SELECT mem.doc_id, mem.rep FROM mem JOIN grp USING (rep) WHERE grp.n > 1
+""")
+def q_copy_groups(spark, sf):
+    members, groups = Y.copy_groups(ratio_l2(spark, sf))
+    return members.join(groups.filter(F.col("n") > 1), "rep", "left_semi").select("doc_id", "rep")
 
 
 @register("Y2_score_list", sql=f"""
-WITH {_RATIO}, {_PAIRS}
-SELECT a, b, round(score, 6) AS score, row_number() OVER (ORDER BY round(score, 9), a, b) AS pos FROM pairs
+WITH {_RATIO}, {_CLASSES}
+SELECT a, b, round(score, 6) AS score, n_pairs, row_number() OVER (ORDER BY round(score, 9), a, b) AS pos FROM classes
 """)
 def q_score_list(spark, sf):
-    p = pairs(spark, sf)
-    return r6(global_row_number(p, [F.round("score", 9).asc(), F.col("a").asc(), F.col("b").asc()], name="pos"), "score")
+    c_, _ = classes(spark, sf)
+    ranked = global_row_number(c_.select("a", "b", "score", "n_pairs"),
+                               [F.round("score", 9).asc(), F.col("a").asc(), F.col("b").asc()], name="pos")
+    return r6(ranked, "score")
 
 
 @register("Y2_pair_count", sql=f"""
-WITH {_RATIO}, {_PAIRS}
-SELECT (SELECT count(*) * (count(*) - 1) // 2 FROM documents)::BIGINT AS n_pairs, count(*) AS n_above FROM pairs
+WITH {_RATIO}, {_CLASSES}
+SELECT (SELECT count(*) * (count(*) - 1) // 2 FROM documents)::BIGINT AS n_pairs, sum(n_pairs)::BIGINT AS n_above FROM classes
 """)
 def q_pair_count(spark, sf):
     total = Y.pair_count(Tables(spark, sf).documents)
-    above = pairs(spark, sf).agg(F.count(F.lit(1)).cast("long").alias("n_above"))
+    c_, _ = classes(spark, sf)
+    above = c_.agg(F.sum("n_pairs").cast("long").alias("n_above"))
     return total.crossJoin(above)
 
 
-@register("Y3_top_pairs", sql=f"WITH {_RATIO}, {_PAIRS} SELECT a, b, round(score, 6) AS score FROM pairs ORDER BY round(score, 9) DESC, a, b LIMIT 5")
+@register("Y3_top_pairs", sql=f"""
+WITH {_RATIO}, {_CLASSES}
+SELECT a, b, round(score, 6) AS score FROM docpairs ORDER BY round(score, 9) DESC, a, b LIMIT 5
+""")
 def q_top_pairs(spark, sf):
-    return r6(Y.top_pairs(pairs(spark, sf), 5), "score")
+    c_, members = classes(spark, sf)
+    return r6(Y.top_doc_pairs(c_, members, 5), "score")
 
 
 @register("Y4_extreme_pair_ranks", sql=f"""
-WITH {_RATIO}, {_PAIRS},
+WITH {_RATIO}, {_CLASSES},
   r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank FROM documents),
-  best AS (SELECT a, b, score FROM pairs ORDER BY round(score, 9) DESC, a, b LIMIT 1)
+  best AS (SELECT a, b, score FROM docpairs ORDER BY round(score, 9) DESC, a, b LIMIT 1)
 SELECT best.a, best.b, round(best.score, 6) AS score, ra.rank AS rank_a, rb.rank AS rank_b
 FROM best LEFT JOIN r ra ON ra.doc_id = best.a LEFT JOIN r rb ON rb.doc_id = best.b
 """)
 def q_extreme_pair(spark, sf):
+    c_, members = classes(spark, sf)
     ranks = global_row_number(Tables(spark, sf).documents.select("doc_id"), [F.col("doc_id").asc()], name="rank")
-    return r6(Y.extreme_pair_ranks(pairs(spark, sf), ranks), "score")
+    return r6(Y.extreme_pair_ranks(Y.top_doc_pairs(c_, members, 1), ranks), "score")
 
 
-@register("Y9_cosine_distance", sql=f"WITH {_RATIO}, {_PAIRS} SELECT a, b, round(1.0 - score, 6) AS distance FROM pairs")
+@register("Y9_cosine_distance", sql=f"""
+WITH {_RATIO}, {_CLASSES} SELECT a, b, round(1.0 - score, 6) AS distance, n_pairs FROM classes
+""")
 def q_distance(spark, sf):
-    return r6(Y.cosine_distance(pairs(spark, sf)).select("a", "b", "distance"), "distance")
+    c_, _ = classes(spark, sf)
+    return r6(Y.cosine_distance(c_).select("a", "b", "distance", "n_pairs"), "distance")
 
 
 # query-to-corpus search: benchmark items are the queries; they join the
