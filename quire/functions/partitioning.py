@@ -17,10 +17,17 @@ def target_partitions(df: DataFrame) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def cores(df: DataFrame) -> int:
+    return int(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
     """Repartition by ``keys`` only when the input has fewer partitions than
-    the session's shuffle parallelism (planning only, no job)."""
-    want = min_partitions or target_partitions(df)
+    there are cores to run it (planning only, no job).  The count is explicit
+    on purpose: the data may be small in bytes but heavy in CPU (regexes over
+    whole texts), which AQE's size-based coalescing would squeeze back into
+    one task."""
+    want = min_partitions or min(target_partitions(df), cores(df))
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .partitioning import target_partitions
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
@@ -28,8 +27,10 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
     """Append a 1-based ``name`` (long) equal to ``row_number() over (order
     by *order)``.  ``order`` must be a total order (end with a unique key) so
     the numbering is deterministic under task retries."""
-    n = partitions or target_partitions(df)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # without an explicit count AQE may coalesce the range partitions to the
+    # data size; coalesced partitions are contiguous ranges, so order holds
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id()
     )
