@@ -15,7 +15,11 @@ from ..operators.vocab import difficulty, difficulty_rank, vocab_scores
 
 def rank_by_difficulty(documents: DataFrame, *, digits: int = 6) -> DataFrame:
     docs = spread(documents.select("doc_id", "text"), "doc_id")
-    scored = difficulty(vocab_scores(docs))
+    # difficulty needs the corpus maxima before it can normalise: write the
+    # per-document scores (a few numbers per document) once, so the texts are
+    # tokenized in one pass and the maxima and the ranking read the small table
+    scores = vocab_scores(docs).checkpoint()
+    scored = difficulty(scores)
     ranked = difficulty_rank(scored)
     return ranked.select(
         "doc_id", "n_tokens", "vocab_size", "vocab_size_long",
