@@ -87,7 +87,8 @@ def filter_df(b: DataFrame, n_docs: DataFrame, *, min_df: float = 0.0, max_df: f
     (fractions of the ``N`` documents in the one-row ``n_docs``)."""
     dfs = term_stats_from_bow(b, id_col=id_col).crossJoin(F.broadcast(n_docs))
     keep = dfs.filter((F.col("df") >= F.lit(min_df) * F.col("n_docs")) & (F.col("df") <= F.lit(max_df) * F.col("n_docs")))
-    return attach(b, keep.select("term"), "term", "left_semi")
+    # the kept terms keep their document frequency: a later ``tfidf`` reuses it
+    return attach(b, keep.select("term", "df"), "term")
 
 
 def count_docs(docs: DataFrame) -> DataFrame:
@@ -101,9 +102,12 @@ def tfidf(b: DataFrame, n_docs: DataFrame, *, variant: str = "ratio", lengths: D
     * ``ratio`` (X4): ``tf / len * ln(N / df)``, ``len`` = tokens in the document
     * ``smooth`` (X5): ``tf * (ln((1 + N) / (1 + df)) + 1)``
     * ``plain`` (X6): ``tf * (ln(N / df) + 1)``
-    Normalisation is a separate step (``normalize``)."""
-    dfs = term_stats_from_bow(b, id_col=id_col)
-    j = attach(b, dfs, "term").crossJoin(F.broadcast(n_docs))
+    Normalisation is a separate step (``normalize``).  A bag of words that
+    already carries ``df`` (from ``filter_df``) is not counted again."""
+    if "df" in b.columns:
+        j = b.crossJoin(F.broadcast(n_docs))
+    else:
+        j = attach(b, term_stats_from_bow(b, id_col=id_col), "term").crossJoin(F.broadcast(n_docs))
     N, df, tf = F.col("n_docs").cast("double"), F.col("df").cast("double"), F.col("tf").cast("double")
     if variant == "ratio":
         if lengths is None:

@@ -79,7 +79,7 @@ SELECT b.* FROM b JOIN d USING (term) WHERE d.df >= {MIN_DF} * {_N} AND d.df <=
 """)
 def q_filter_df(spark, sf):
     t = tokens(spark, sf)
-    return X.filter_df(X.bow(t), X.count_docs(t), min_df=MIN_DF, max_df=MAX_DF)
+    return X.filter_df(X.bow(t), X.count_docs(t), min_df=MIN_DF, max_df=MAX_DF).select("doc_id", "term", "tf")
 
 
 _RATIO = f"""
