@@ -2,8 +2,9 @@
 
 Long format ``(doc_id, term, tf)`` is the working representation: it is what
 a sparse matrix is at scale, and joins on ``term`` / windows on ``doc_id`` are
-planned by Catalyst.  The document-frequency table is broadcast only after a
-size check; beyond it the join is a shuffle join.
+planned by Catalyst.  Term tables derived from the data carry no broadcast
+hint: AQE turns the shuffle join into a broadcast at run time only when the
+finished term stage measures small.
 """
 
 from __future__ import annotations
