@@ -1,6 +1,7 @@
 """Importing this module registers every analysis."""
 
 from . import (  # noqa: F401
+    flows,
     model_jobs,
     more_jobs,
     page_jobs,
