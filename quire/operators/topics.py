@@ -74,32 +74,55 @@ def coherence_umass(top: DataFrame, bow: DataFrame, *, id_col: str = "doc_id") -
     return s.groupBy("topic").agg(F.avg("v").alias("coherence"))
 
 
+def _union_size(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Size of the union of window-start intervals [lo, hi] per ``keys``.
+    Both ends grow with the token position, so the union is the sum of the
+    lengths minus the overlap of each interval with the previous one."""
+    w = Window.partitionBy(*keys).orderBy("p")
+    prev_hi = F.lag("hi").over(w)
+    overlap = F.when(prev_hi.isNull(), F.lit(0)).otherwise(F.greatest(prev_hi - F.col("lo") + 1, F.lit(0)))
+    return rows.withColumn("_ov", overlap).groupBy(*keys).agg(
+        (F.sum(F.col("hi") - F.col("lo") + 1) - F.sum("_ov")).alias("u"))
+
+
 def coherence_cv(top: DataFrame, tokens: DataFrame, *, window: int = 110, id_col: str = "doc_id",
                  tokens_col: str = "tokens", eps: float = 1e-12) -> DataFrame:
     """M10 (Roeder et al. 2015): boolean sliding windows of ``window``
     tokens (step 1; a shorter document is one window).  A top word at
     position p of a document with L tokens lies in window starts
-    ``max(0, p-window+1) .. min(p, max(0, L-window))``; windows are counted
-    per distinct (document, start) from positions of top words only.
-    NPMI = ln((P(w,w')+eps) / (P(w)P(w'))) / -ln(P(w,w')+eps); each word's
-    vector is its NPMI with all top words of the topic; score = mean cosine of
-    the word vectors with their sum."""
+    ``max(0, p-window+1) .. min(p, max(0, L-window))``.  Windows are never
+    enumerated: the number of windows holding a word is the size of the union
+    of those intervals (sum of lengths minus consecutive overlaps, with
+    ``lag``), and a pair's co-occurrence count is C(w) + C(w') - |union of
+    both words' intervals|; the work is linear in the occurrences of top
+    words times the topic size.  NPMI = ln((P(w,w')+eps) / (P(w)P(w'))) /
+    -ln(P(w,w')+eps); each word's vector is its NPMI with all top words of the
+    topic; score = mean cosine of the word vectors with their sum."""
     tw = top.select("topic", "term")
     words = tw.select("term").distinct()
     toks = tokens.select(id_col, F.size(tokens_col).alias("L"), explode_rows(tokens_col, "p", "term")).filter(F.col("p").isNotNull())
     nwin = tokens.select(F.greatest(F.size(tokens_col) - window + 1, F.lit(1)).alias("n")).agg(F.sum("n").alias("N"))
-    hits = toks.join(F.broadcast(words), "term")
-    lo = F.greatest(F.col("p") - window + 1, F.lit(0))
-    hi = F.least(F.col("p"), F.greatest(F.col("L") - window, F.lit(0)))
-    wins = hits.select(id_col, "term", F.explode(F.sequence(lo, hi)).alias("s")).distinct()
-    p1 = wins.groupBy("term").agg(F.count(F.lit(1)).alias("c1"))
-    a = wins.join(tw, "term").select(id_col, "s", "topic", F.col("term").alias("wi"))
-    b = wins.join(tw, "term").select(id_col, "s", "topic", F.col("term").alias("wj"))
-    co = a.join(b, [id_col, "s", "topic"]).groupBy("topic", "wi", "wj").agg(F.count(F.lit(1)).alias("c2"))
+    hits = toks.join(F.broadcast(words), "term").select(
+        id_col, "term", "p", F.greatest(F.col("p") - window + 1, F.lit(0)).alias("lo"),
+        F.least(F.col("p"), F.greatest(F.col("L") - window, F.lit(0))).alias("hi"))
+    c1 = _union_size(hits, [id_col, "term"]).groupBy("term").agg(F.sum("u").alias("c1"))
+    pairs = tw.alias("x").join(tw.alias("y"), (F.col("x.topic") == F.col("y.topic")) & (F.col("x.term") < F.col("y.term"))) \
+        .select(F.col("x.topic").alias("topic"), F.col("x.term").alias("wi"), F.col("y.term").alias("wj"))
+    # every occurrence of either word of a pair, tagged with the pair (n - 1 pairs per word)
+    both = hits.join(F.broadcast(pairs), F.col("term") == F.col("wi")).unionByName(
+        hits.join(F.broadcast(pairs), F.col("term") == F.col("wj")))
+    uni = _union_size(both, [id_col, "topic", "wi", "wj"]).groupBy("topic", "wi", "wj").agg(F.sum("u").alias("uu"))
+    ci = c1.select(F.col("term").alias("wi"), F.col("c1").alias("ci"))
+    cj = c1.select(F.col("term").alias("wj"), F.col("c1").alias("cj"))
+    co_pairs = pairs.join(uni, ["topic", "wi", "wj"], "left").join(ci, "wi", "left").join(cj, "wj", "left").select(
+        "topic", "wi", "wj", (F.coalesce("ci", F.lit(0)) + F.coalesce("cj", F.lit(0)) - F.coalesce("uu", F.lit(0))).alias("c2"))
+    co = co_pairs.unionByName(co_pairs.select("topic", F.col("wj").alias("wi"), F.col("wi").alias("wj"), "c2")) \
+        .unionByName(tw.join(c1, "term", "left").select("topic", F.col("term").alias("wi"), F.col("term").alias("wj"),
+                                                         F.coalesce("c1", F.lit(0)).alias("c2")))
     grid = tw.alias("x").join(tw.alias("y"), "topic").select("topic", F.col("x.term").alias("wi"), F.col("y.term").alias("wj"))
     g = grid.join(co, ["topic", "wi", "wj"], "left").crossJoin(F.broadcast(nwin))
-    g = g.join(p1.select(F.col("term").alias("wi"), F.col("c1").alias("ci")), "wi", "left")
-    g = g.join(p1.select(F.col("term").alias("wj"), F.col("c1").alias("cj")), "wj", "left")
+    g = g.join(c1.select(F.col("term").alias("wi"), F.col("c1").alias("ci")), "wi", "left")
+    g = g.join(c1.select(F.col("term").alias("wj"), F.col("c1").alias("cj")), "wj", "left")
     pij = F.coalesce("c2", F.lit(0)) / F.col("N")
     pi = F.coalesce("ci", F.lit(0)) / F.col("N")
     pj = F.coalesce("cj", F.lit(0)) / F.col("N")
