@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from .redirects import judge_urls, rules_table
 from .simhash import near_duplicate_classes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,59 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 4-word shingles, 4 bits."""
     return near_duplicate_classes(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).select(
         "doc_id", "fingerprint", "component_id")
+
+
+#: (host, path, verdict)
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+OP2_SQL = r"""
+WITH RECURSIVE parts AS (
+  SELECT page_id, url, html,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest
+  FROM pages),
+own AS (
+  SELECT page_id, url, html,
+         coalesce(translate(regexp_extract(rest, '^[^/?#]*'),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+         CASE WHEN rest IS NOT NULL THEN lower(substr(url, 1, strpos(url, '://') + 2))
+              || lower(regexp_extract(rest, '^[^/?#]*'))
+              || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) END AS node
+  FROM parts),
+rules(rhost, rpath, verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fits AS (
+  SELECT o.page_id, o.node, r.rhost || r.rpath AS rule, r.verdict,
+         row_number() OVER (PARTITION BY o.page_id ORDER BY length(r.rhost || r.rpath) DESC, r.verdict) AS rn
+  FROM own o JOIN rules r
+    ON (o.host = r.rhost OR ends_with(o.host, '.' || r.rhost)) AND starts_with(o.path, r.rpath)),
+ruled AS (SELECT * FROM fits WHERE rn = 1),
+links AS (
+  SELECT node AS a, unnest(regexp_extract_all(html,
+    '(?i)<link[^>]*rel\s*=\s*["'']?canonical[^>]*href\s*=\s*["'']?([^"''\s>#]+)', 1)) AS b FROM own
+  UNION
+  SELECT node, unnest(regexp_extract_all(html,
+    '(?i)<meta[^>]*http-equiv\s*=\s*["'']?refresh[^>]*url\s*=\s*["'']?([^"''\s>#]+)', 1)) FROM own),
+edges AS (SELECT a, b FROM links WHERE a <> b UNION SELECT b, a FROM links WHERE a <> b),
+reach AS (SELECT a AS node, b AS other FROM edges
+          UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a),
+passed AS (
+  SELECT r.node, CASE WHEN bool_or(f.verdict = 'allow') THEN 'allow' ELSE 'block' END AS verdict
+  FROM reach r JOIN ruled f ON f.node = r.other GROUP BY r.node)
+SELECT o.page_id, o.host, o.path, f.rule, coalesce(f.verdict, p.verdict, 'allow') AS verdict
+FROM own o LEFT JOIN ruled f ON f.page_id = o.page_id LEFT JOIN passed p ON p.node = o.node
+"""
+
+
+@query("op2_redirect_url_filter", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict of every page url under the five rules and its aliases."""
+    return judge_urls(table(spark, sf_dir, "pages"), rules_table(spark, URL_RULES)).select(
+        "page_id", "host", "path", "rule", "verdict")
