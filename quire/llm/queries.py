@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
 from .redirects import judge_urls, rules_table
 from .simhash import near_duplicate_classes
+from .winnow import decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -85,3 +87,41 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict of every page url under the five rules and its aliases."""
     return judge_urls(table(spark, sf_dir, "pages"), rules_table(spark, URL_RULES)).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i + 1:i + n], ' ') AS content
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(0, len(w) - least(len(w), 10) + 1)) AS i
+        FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM wins),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i + 1:i + n], ' ') AS content
+  FROM (SELECT doc_id, w, n, unnest(range(0, greatest(0, len(w) - n + 1))) AS i FROM d, lens)),
+hit AS (SELECT doc_id, n, i, item_id FROM dw JOIN wins USING (n, content)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+@query("op3_benchmark_decontamination", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside a 10-word window of a benchmark item."""
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
