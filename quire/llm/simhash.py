@@ -15,9 +15,9 @@ most ``max_bits`` bits must be linked, whatever else the corpus holds:
   Manhattan bound over all segments, then the exact bit distance.
 * *Crowded cells.*  Copies are collapsed before (one row per distinct
   fingerprint).  A cell with more than ``block`` fingerprints is cut into
-  blocks, and every pair of blocks is one bounded unit of work.  A unit emits
-  a spanning forest of its links, never all its pairs, which is what the
-  connected components need.
+  blocks, and every pair of blocks is one bounded unit of work; any other cell
+  is one unit.  A unit emits a spanning forest of its links, never all its
+  pairs, which is what the connected components need.
 """
 
 from __future__ import annotations
@@ -213,15 +213,17 @@ def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 4, groups: int =
                     [pa.array(cell.view(np.int64)), pa.array(fp[s:s + 20_000][row].view(np.int64))], ["cell", "fp"])
 
     cells = distinct_fps.select("fp").mapInArrow(to_cells, "cell long, fp long")
-    crowd = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    placed = (cells.join(crowd, "cell")
+    crowded = written(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block), "crowded")
+    plain = (cells.join(crowded, "cell", "left_anti")
+             .groupBy("cell").agg(F.collect_list("fp").alias("fps")).filter("size(fps) > 1").select("fps"))
+    partner = F.explode(F.expr("filter(sequence(0, nb - 1), x -> x <> own)"))
+    paired = (cells.join(crowded, "cell")
               .withColumn("nb", F.ceil(F.col("n") / F.lit(float(block))).cast("int"))
-              .withColumn("own", F.expr("CAST(pmod(xxhash64(fp), nb) AS INT)")))
-    # with one block its only partner is itself; else every other block
-    partner = F.explode(F.expr("IF(nb = 1, array(0), filter(sequence(0, nb - 1), x -> x <> own))"))
-    units = (placed.withColumn("other", partner)
-             .select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-             .groupBy("cell", "i", "j").agg(F.collect_list("fp").alias("fps")).select("fps"))
+              .withColumn("own", F.expr("CAST(pmod(xxhash64(fp), nb) AS INT)"))
+              .withColumn("other", partner)
+              .select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+              .groupBy("cell", "i", "j").agg(F.collect_list("fp").alias("fps")).select("fps"))
+    units = plain.union(paired)
 
     def to_links(batches):
         for b in batches:
