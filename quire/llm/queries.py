@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from .ebayes import score_quality
+from .eliasfano import token_files
+from .normsearch import top_k_products
+from .ordinal import score_severity
+from .packing import pack_documents
 from .redirects import judge_urls, rules_table
 from .simhash import near_duplicate_classes
 from .winnow import decontaminate
@@ -125,3 +131,50 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op6_elias_fano_token_files")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids (end id 0) written to token files and read back."""
+    return token_files(table(spark, sf_dir, "documents"), VOCABULARY, 0).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op8_residual_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents (end id 2) packed into sequences of at most 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, 2, capacity=1024)
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op9_norm_bucket_topk", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector over all vectors."""
+    return top_k_products(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64.0)
+
+
+@query("op4_ordinal_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected toxicity severity of every document."""
+    return score_severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_empirical_bayes_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality posterior of every document from its text and its site."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
