@@ -62,7 +62,7 @@ def features(text: str | None) -> list[float]:
     ]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 25) -> np.ndarray:
     """Newton steps for ridge logistic regression (the last column is the bias
     and not penalised)."""
     w = np.zeros(x.shape[1])

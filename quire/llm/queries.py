@@ -14,6 +14,7 @@ from .eliasfano import token_files
 from .normsearch import top_k_products
 from .ordinal import score_severity
 from .packing import pack_documents
+from .radix import remove_repeats
 from .redirects import judge_urls, rules_table
 from .simhash import near_duplicate_classes
 from .winnow import decontaminate
@@ -178,3 +179,34 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality posterior of every document from its text and its site."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP10_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+wins AS (
+  SELECT doc_id, p, substr(x, 2 * p + 1, 100) AS w
+  FROM (SELECT doc_id, x, unnest(range(0, greatest(0, length(x) // 2 - 49))) AS p FROM d)),
+least AS (SELECT w, min(doc_id) AS m FROM wins GROUP BY w HAVING min(doc_id) <> max(doc_id)),
+starts AS (SELECT wins.doc_id, wins.p FROM wins JOIN least USING (w) WHERE wins.doc_id > least.m),
+steps AS (
+  SELECT doc_id, p, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 1 ELSE 0 END AS new FROM starts),
+labelled AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM steps),
+spans AS (SELECT doc_id, g, min(p) AS a, max(p) + 50 AS z FROM labelled GROUP BY doc_id, g),
+pieces AS (
+  SELECT s.doc_id, s.a, substr(d.x, 2 * coalesce(lag(s.z) OVER w, 0) + 1,
+                               2 * (s.a - coalesce(lag(s.z) OVER w, 0))) AS piece
+  FROM spans s JOIN d USING (doc_id) WINDOW w AS (PARTITION BY s.doc_id ORDER BY s.a)),
+heads AS (SELECT doc_id, string_agg(piece, '' ORDER BY a) AS x FROM pieces GROUP BY doc_id),
+totals AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) AS z FROM spans GROUP BY doc_id)
+SELECT d.doc_id, (length(d.x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(heads.x, '') || substr(d.x, 2 * coalesce(totals.z, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN totals USING (doc_id) LEFT JOIN heads USING (doc_id)
+"""
+
+
+@query("op10_radix_passage_dedup", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 50-byte passages of earlier ones."""
+    return remove_repeats(table(spark, sf_dir, "documents"), depth=50).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
