@@ -107,11 +107,14 @@ def train_evidence(docs: DataFrame, labels: DataFrame, limit: int = 10_000) -> t
     return fit_logistic(np.array([r.x for r in got]), y), float(np.log(share / (1 - share)))
 
 
-def document_evidence(docs: DataFrame, model: tuple[np.ndarray, float] | None, host: Column, path: Column) -> DataFrame:
-    """(doc_id, host, path, llr, p) per row; empty texts have no evidence."""
-    slim = spread_scan(docs.select("doc_id", host.alias("host"), path.alias("path"), "text"))
-    id_type = slim.schema["doc_id"].dataType.simpleString()
+def document_evidence(docs: DataFrame, model: tuple[np.ndarray, float] | None, host: Column, path: Column,
+                      carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, host, path, llr, p, *carry) per row; empty texts have no evidence."""
+    slim = spread_scan(docs.select("doc_id", host.alias("host"), path.alias("path"), "text",
+                                   *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry))))
+    kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
     weights, base = model if model else (np.zeros(len(FEATURES)), 0.0)
+    extra = [f"carry_{i}" for i in range(len(carry))]
 
     def run(batches):
         for b in batches:
@@ -121,10 +124,12 @@ def document_evidence(docs: DataFrame, model: tuple[np.ndarray, float] | None, h
                 if x[-1]:
                     llr[i] = x @ weights - base
             p = 1 / (1 + np.exp(-np.clip(llr + base, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(np.clip(llr, -30, 30)), pa.array(p)],
-                                             ["doc_id", "host", "path", "llr", "p"])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:3], pa.array(np.clip(llr, -30, 30)), pa.array(p), *b.columns[4:]],
+                ["doc_id", "host", "path", "llr", "p", *extra])
 
-    return slim.mapInArrow(run, f"doc_id {id_type}, host string, path string, llr double, p double")
+    return slim.mapInArrow(run, f"doc_id {kinds['doc_id']}, host string, path string, llr double, p double"
+                           + "".join(f", {c} {kinds[c]}" for c in extra))
 
 
 def strength(mean: float, between: float) -> float:
@@ -135,9 +140,11 @@ def strength(mean: float, between: float) -> float:
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None,
-                  limit: int = 10_000, keep_from: float = 0.5) -> DataFrame:
-    """(doc_id, host, path, evidence, host_rate, path_rate, quality, keep), one
-    row per row of ``docs``.
+                  limit: int = 10_000, keep_from: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, host, path, evidence, host_rate, path_rate, quality, keep,
+    *carried), one row per row of ``docs``; ``carry`` names further columns to pass
+    through, prefixed ``carried_`` (the evidence is then computed again beside them, which is cheaper
+    than moving texts).
 
     ``host`` and ``path`` default to ``source`` and ``lang``; nulls in them are
     the empty name.  A null or wordless text has evidence 0 and gets its site's
@@ -146,7 +153,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None
     table gives an empty table."""
     host = F.coalesce((F.col("source") if host is None else host).cast("string"), F.lit(""))
     path = F.coalesce((F.col("lang") if path is None else path).cast("string"), F.lit(""))
-    own = written(document_evidence(docs, train_evidence(docs, labels, limit), host, path), "evidence")
+    model = train_evidence(docs, labels, limit)
+    own = written(document_evidence(docs, model, host, path), "evidence")
     paths = own.groupBy("host", "path").agg(F.sum("p").alias("s"), F.count(F.lit(1)).alias("n")).checkpoint()
     hosts = paths.groupBy("host").agg(F.sum("s").alias("hs"), F.sum("n").alias("hn"))
     total = hosts.agg(F.sum("hs").alias("s"), F.sum("hn").alias("n")).first()
@@ -157,8 +165,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None
     sites = paths.join(hosts, "host")
     inner = sites.agg((F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("host_rate"), 2)) / F.sum("n")).alias("v")).first()
     k_path = strength(mean, inner.v or 0.0)
-    salted = sites.select("host", "path", "s", "n", "host_rate",
-                          F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    salted = written(sites.select("host", "path", "s", "n", "host_rate",
+                                  F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")), "sites")
+    if carry:
+        own = document_evidence(docs, model, host, path, carry)
     # the document's own share leaves its site before the site speaks for it
     rate = (F.col("s") - F.col("p") + k_path * F.col("host_rate")) / (F.col("n") - 1 + k_path)
     rate = F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))
@@ -167,4 +177,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None
             .join(salted, ["host", "path", "salt"])
             .withColumn("path_rate", rate).withColumn("quality", 1 / (1 + F.exp(-odds)))
             .select("doc_id", "host", "path", F.col("llr").alias("evidence"), "host_rate", "path_rate", "quality",
-                    (F.col("quality") >= keep_from).alias("keep")))
+                    (F.col("quality") >= keep_from).alias("keep"),
+                    *(F.col(f"carry_{i}").alias(f"carried_{c}") for i, c in enumerate(carry))))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from .charcrf import find_personal_data
 from .ebayes import score_quality
 from .eliasfano import token_files
 from .normsearch import top_k_products
@@ -210,3 +211,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), depth=50).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_char_crf_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: fixed patterns and tagged spans."""
+    return find_personal_data(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread_scan, written
+from .common import row_key, spread_scan, written
 from .components import connected_components
 
 SEED = 42
@@ -85,16 +85,18 @@ def fingerprint_texts(texts: list, k: int, flush: int = 400_000) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, fp long): one row per input row.  A map over Arrow batches."""
-    slim = spread_scan(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    """(doc_id, rk long, fp long): one row per input row, with the row key of
+    ``common.row_key``.  A map over Arrow batches."""
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    slim = spread_scan(named.select("doc_id", "text", row_key("doc_id", "text").alias("rk")))
     id_type = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             fp = fingerprint_texts(b.column(1).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fp.view(np.int64))], ["doc_id", "rk", "fp"])
 
-    return slim.mapInArrow(run, f"doc_id {id_type}, fp long")
+    return slim.mapInArrow(run, f"doc_id {id_type}, rk long, fp long")
 
 
 # -- the embedding and its grid -------------------------------------------------
@@ -241,7 +243,7 @@ def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 4, groups: int =
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            shingle: int = 4, max_bits: int = 4, groups: int = 2, block: int = 1024) -> DataFrame:
-    """(doc_id, fp long, fingerprint string, component_id), one row per row.
+    """(doc_id, rk, fp long, fingerprint string, component_id), one row per row.
 
     Null and wordless texts have fingerprint 0 and are linked like any other.
     A text of fewer than ``shingle`` words is one shingle.  Rows with a null
@@ -257,4 +259,4 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     names = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
     classes = linked.join(names, "component").select("fp", "component_id")
     return (own.join(classes, "fp")
-            .select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+            .select("doc_id", "rk", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
