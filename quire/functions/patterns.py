@@ -16,14 +16,18 @@ ALPHA = r"\p{L}+"
 PATTERN_TOKEN = r"[\p{L}\p{N}_-]+"
 # Sentence boundary: terminal punctuation followed by white space.
 SENTENCE_END = r"([.!?])\s+"
+# The same boundary as a cut that consumes the white space only (Spark side).
+SENTENCE_GAP = r"(?<=[.!?])\s+"
 # Punctuation or symbol character.
 PUNCT_OR_SYMBOL = r"[\p{P}\p{S}]"
 # The first run of letters, digits and dashes (hyphen rule).
 HYPHEN_CORE = r"([0-9A-Za-z-]+)"
 # Any character outside ASCII.
 NON_ASCII = r"[^\x00-\x7F]"
-# Anchor element with its href and inner text.
-ANCHOR = r"""<a\s[^>]*?href="([^"]*)"[^>]*>((?s:.*?))</a>"""
+# Anchor element with its href (quotes included, if any) and inner text.
+ANCHOR = r"""(?i)<a(?:\s[^>]*?)?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>((?s:.*?))</a\s*>"""
+# Quotes around an attribute value.
+QUOTES = r"""^["']|["']$"""
 # First number in a string.
 FIRST_NUMBER = r"([0-9]+)"
 # Scheme and host of an absolute URL.

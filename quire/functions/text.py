@@ -39,8 +39,7 @@ def squash_space(text) -> Column:
 
 def sentences(text) -> Column:
     """Split after ``.``, ``!`` or ``?`` followed by white space."""
-    marked = F.regexp_replace(c(text), P.SENTENCE_END, "$1\u0001")
-    return F.filter(F.transform(F.split(marked, "\u0001"), lambda s: F.trim(s)), lambda s: s != "")
+    return F.filter(F.transform(F.split(c(text), P.SENTENCE_GAP), lambda s: F.trim(s)), lambda s: s != "")
 
 
 NUDGE = 1e-9

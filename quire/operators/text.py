@@ -38,7 +38,7 @@ def normalize_text(df: DataFrame, *, col: str = "text", out: str | None = None)
 
 # ---------------------------------------------------------------------------
 # T2 ASCII folding (NFKD, then drop everything outside ASCII).
-# The table is derived from the Unicode database by rule: every BMP character
+# The table is derived from the Unicode database by rule: every character
 # whose compatibility decomposition keeps exactly one ASCII character maps to
 # it (``translate``); those keeping several ASCII characters (ligatures,
 # fractions, ellipsis) go through a single-pass replacement.
@@ -46,7 +46,7 @@ def normalize_text(df: DataFrame, *, col: str = "text", out: str | None = None)
 
 def _fold_tables() -> tuple[str, str, dict[str, str]]:
     src, dst, multi = [], [], {}
-    for cp in range(0x80, 0x10000):
+    for cp in range(0x80, 0x110000):
         if 0xD800 <= cp <= 0xDFFF:
             continue
         ch = chr(cp)
@@ -75,9 +75,6 @@ def ascii_fold(df: DataFrame, *, col: str = "text", out: str | None = None) -> D
 
 # ---------------------------------------------------------------------------
 # T3 simultaneous multi-string replacement
-MARK = "\u0001"
-
-
 def replace_pattern(keys) -> str:
     keys = sorted(keys, key=len, reverse=True)
     if all(len(k) == 1 for k in keys):
@@ -85,10 +82,17 @@ def replace_pattern(keys) -> str:
     return "(" + "|".join(re.escape(k) for k in keys) + ")"
 
 
+def pieces_pattern(keys) -> str:
+    """Cuts a text without loss: a key (longest first), a run of characters
+    that start no key, or one character that starts a key without being one."""
+    starts = "".join(sorted({re.escape(k[0]) for k in keys}))
+    return f"(?s){replace_pattern(keys)}|[^{starts}]+|."
+
+
 def replace_many_col(text, mapping: dict[str, str]) -> Column:
     """Single left-to-right pass; at each position the longest key wins.
-    Matches are fenced with U+0001, the text split on the fence, and every
-    odd piece (a match) looked up in the map."""
+    The text is cut into keys and what lies between; keys are looked up, any
+    other piece stays (it cannot equal a key)."""
     if not mapping:
         return c(text)
     if all(len(k) == 1 and len(v) <= 1 for k, v in mapping.items()):
@@ -96,9 +100,10 @@ def replace_many_col(text, mapping: dict[str, str]) -> Column:
         keys = sorted(mapping, key=lambda k: mapping[k] == "")  # deletions last
         return F.translate(c(text), "".join(keys), "".join(mapping[k] for k in keys))
     lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    fenced = F.regexp_replace(c(text), replace_pattern(mapping), MARK + "$1" + MARK)
-    pieces = F.split(fenced, MARK, -1)
-    swapped = F.transform(pieces, lambda x, i: F.when(i % 2 == 1, F.element_at(lookup, x)).otherwise(x))
+    longest = max(map(len, mapping))
+    pieces = F.regexp_extract_all(c(text), F.lit(pieces_pattern(mapping)), F.lit(0))
+    swapped = F.transform(pieces, lambda x: F.when(
+        F.length(x) <= longest, F.coalesce(F.try_element_at(lookup, x), x)).otherwise(x))
     return F.array_join(swapped, "")
 
 

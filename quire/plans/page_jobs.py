@@ -28,6 +28,10 @@ def _tag_text(x: str) -> str:
     return f"trim(regexp_replace({ST.replace_many(stripped, SP.ENTITIES)}, '\\s+', ' ', 'g'))"
 
 
+_HREFS = (f"list_transform(regexp_extract_all({{}}, {_Q(P.ANCHOR)}, 1), "
+          f"lambda v: regexp_replace(v, {_Q(P.QUOTES)}, '', 'g'))")
+
+
 def _links_sql(filter_re: str | None = None) -> str:
     z = "list_transform(h, lambda x, i: {'href': x, 'anchor': a[i]})"
     if filter_re:
@@ -36,13 +40,15 @@ def _links_sql(filter_re: str | None = None) -> str:
 SELECT page_id, pos, l.href AS href, {_tag_text('l.anchor')} AS anchor FROM (
   SELECT page_id, generate_subscripts(z, 1) - 1 AS pos, unnest(z) AS l FROM (
     SELECT page_id, {z} AS z FROM (
-      SELECT page_id, regexp_extract_all(html, {_Q(P.ANCHOR)}, 1) AS h, regexp_extract_all(html, {_Q(P.ANCHOR)}, 2) AS a FROM pages)))"""
+      SELECT page_id, {_HREFS.format('html')} AS h, regexp_extract_all(html, {_Q(P.ANCHOR)}, 2) AS a FROM pages)))"""
 
 
 def _resolve_sql(h: str, b: str) -> str:
-    return (f"CASE WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN {h} "
+    return (f"CASE WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN {h} "
             f"WHEN starts_with({h}, '//') THEN regexp_extract({b}, '^([a-zA-Z][a-zA-Z0-9+.-]*:)', 1) || {h} "
             f"WHEN starts_with({h}, '/') THEN regexp_extract({b}, {_Q(P.URL_ORIGIN)}, 1) || {h} "
+            f"WHEN starts_with({h}, '?') THEN regexp_replace({b}, '[?#].*$', '') || {h} "
+            f"WHEN starts_with({h}, '#') THEN regexp_replace({b}, '#.*$', '') || {h} "
             f"ELSE regexp_replace(regexp_replace({b}, '[?#].*$', ''), '[^/]*$', '') || {h} END")
 
 
@@ -71,7 +77,7 @@ def _seeds_sql() -> str:
 
 
 def _hop_sql(prev: str, pat: str) -> str:
-    first = f"list_filter(regexp_extract_all(p.html, {_Q(P.ANCHOR)}, 1), lambda x: regexp_matches(x, {_Q(pat)}))[1]"
+    first = f"list_filter({_HREFS.format('p.html')}, lambda x: regexp_matches(x, {_Q(pat)}))[1]"
     return (f"SELECT c.seed_id, c.title, {_resolve_sql(first, 'c.url')} AS url FROM ({prev}) c JOIN pages p ON p.url = c.url "
             f"WHERE {first} IS NOT NULL")
 

@@ -29,8 +29,9 @@ def squash_space(text: str) -> str:
 
 
 def sentences(text: str) -> str:
-    marked = f"regexp_replace({text}, {sql_str(P.SENTENCE_END)}, '\\1' || chr(1), 'g')"
-    return f"list_filter(list_transform(string_split({marked}, chr(1)), lambda s: trim(s)), lambda s: s <> '')"
+    # the fence is a character no text may hold (a noncharacter)
+    marked = f"regexp_replace({text}, {sql_str(P.SENTENCE_END)}, '\\1' || chr(1114111), 'g')"
+    return f"list_filter(list_transform(string_split({marked}, chr(1114111)), lambda s: trim(s)), lambda s: s <> '')"
 
 
 def ratio(num: str, den: str) -> str:

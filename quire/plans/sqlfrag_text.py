@@ -16,9 +16,12 @@ def replace_many(text: str, mapping: dict[str, str]) -> str:
         keys = sorted(mapping, key=lambda k: mapping[k] == "")
         return f"translate({text}, {_chars(''.join(keys))}, {_chars(''.join(mapping[k] for k in keys))})"
     pairs = ", ".join(f"{sql_str(k)}: {sql_str(v)}" for k, v in mapping.items())
-    fenced = f"regexp_replace({text}, {sql_str(T.replace_pattern(mapping))}, chr(1) || '\\1' || chr(1), 'g')"
-    return (f"array_to_string(list_transform(string_split({fenced}, chr(1)), "
-            f"lambda x, i: CASE WHEN i % 2 = 0 THEN MAP {{{pairs}}}[x] ELSE x END), '')")
+    # a fence around every match; fence characters of the text are spelled out first
+    spelled = f"replace(replace({text}, chr(2), chr(2) || chr(4)), chr(1), chr(2) || chr(3))"
+    fenced = f"regexp_replace({spelled}, {sql_str(T.replace_pattern(mapping))}, chr(1) || '\\1' || chr(1), 'g')"
+    swapped = (f"array_to_string(list_transform(string_split({fenced}, chr(1)), "
+               f"lambda x, i: CASE WHEN i % 2 = 0 THEN MAP {{{pairs}}}[x] ELSE x END), '')")
+    return f"replace(replace({swapped}, chr(2) || chr(3), chr(1)), chr(2) || chr(4), chr(2))"
 
 
 def ascii_fold(text: str) -> str:

@@ -44,13 +44,16 @@ def build_session(cores: int | str = "*", app: str = "quire", memory: str = "16g
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) make one."""
+    ``spark.checkpoint.dir``.  Only a local master may go without: it gets a
+    temporary folder, which no cluster must use."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="quire-ckpt-")
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)

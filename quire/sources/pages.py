@@ -41,11 +41,17 @@ def element_pattern(tag: str) -> str:
     return rf"<{t}((?:\s[^>]*)?)>((?s:.*?))</{t}>"
 
 
+def hrefs(html) -> Column:
+    """Link targets in page order: tags in any case, values in either quote or
+    none."""
+    return F.transform(F.regexp_extract_all(c(html), F.lit(P.ANCHOR), 1), lambda x: F.regexp_replace(x, P.QUOTES, ""))
+
+
 def extract_links(pages: DataFrame, href_regex: str | None = None, *, id_col: str = "page_id",
                   html_col: str = "html") -> DataFrame:
     """Anchors ``(page_id, pos, href, anchor)`` in page order; with
     ``href_regex`` only matching hrefs, ``pos`` counting the kept ones."""
-    h = F.regexp_extract_all(c(html_col), F.lit(P.ANCHOR), 1)
+    h = hrefs(html_col)
     a = F.regexp_extract_all(c(html_col), F.lit(P.ANCHOR), 2)
     z = F.zip_with(h, a, lambda x, y: F.struct(x.alias("href"), y.alias("anchor")))
     if href_regex is not None:
@@ -60,16 +66,27 @@ def origin(url) -> Column:
 
 
 def resolve_url(href, base_url) -> Column:
-    """Absolute URL of ``href`` seen on ``base_url``: absolute hrefs
-    stay, ``//host`` gets the base scheme, ``/path`` the base origin, and a
-    relative path the base directory."""
+    """Absolute URL of ``href`` seen on ``base_url``: hrefs with a scheme
+    stay (``mailto:`` too), ``//host`` gets the base scheme, ``/path`` the base
+    origin, ``?query`` and ``#fragment`` the base without its own, and a
+    relative path the base directory, ``./`` and leading ``../`` resolved."""
     h, b = c(href), c(base_url)
     scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     base_dir = F.regexp_replace(F.regexp_replace(b, r"[?#].*$", ""), r"[^/]*$", "")
-    return (F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), h)
+    bare = F.regexp_replace(h, r"^(\./)+", "")
+    ups = F.length(F.regexp_extract(bare, r"^((?:\.\./)*)", 1)) / 3
+    # one folder less for every ../, never above the root
+    folders = F.split(F.regexp_replace(F.substr(base_dir, F.length(origin(b)) + 1), r"^/|/$", ""), "/")
+    kept = F.slice(folders, F.lit(1), F.greatest(F.size(folders) - ups.cast("int"), F.lit(0)))
+    climbed = F.concat(origin(b), F.lit("/"), F.array_join(kept, "/"), F.when(F.size(kept) > 0, "/").otherwise(""),
+                       F.regexp_replace(bare, r"^(\.\./)+", ""))
+    return (F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
             .when(h.startswith("//"), F.concat(scheme, h))
             .when(h.startswith("/"), F.concat(origin(b), h))
-            .otherwise(F.concat(base_dir, h)))
+            .when(h.startswith("?"), F.concat(F.regexp_replace(b, r"[?#].*$", ""), h))
+            .when(h.startswith("#"), F.concat(F.regexp_replace(b, r"#.*$", ""), h))
+            .when(ups > 0, climbed)
+            .otherwise(F.concat(base_dir, bare)))
 
 
 def follow_links(pages: DataFrame, seeds: DataFrame, patterns: list[str], *, url_col: str = "url",
@@ -83,7 +100,7 @@ def follow_links(pages: DataFrame, seeds: DataFrame, patterns: list[str], *, url
     pg = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     for k, pat in enumerate(patterns, start=1):
         here = cur.join(pg, "url")
-        h = F.filter(F.regexp_extract_all("html", F.lit(P.ANCHOR), 1), lambda x: x.rlike(pat))
+        h = F.filter(hrefs("html"), lambda x: x.rlike(pat))
         nxt = here.select("seed_id", "title", resolve_url(F.try_element_at(h, F.lit(1)), F.col("url")).alias("url"))
         cur = nxt.filter(F.col("url").isNotNull())
         out = out.unionByName(cur.withColumn("hop", F.lit(k)))
