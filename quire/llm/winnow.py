@@ -13,11 +13,12 @@ document word inside an occurrence of any window counts as hit.
 * *Join.*  Document runs meet the benchmark's fingerprints.  The benchmark
   side is counted first and broadcast only up to ``max_broadcast`` rows; above
   it the same join shuffles, with the document side salted.
-* *Extension.*  The windows of the runs that met are compared as exact word
-  sequences, and overlapping hits grow into maximal spans.
+* *Extension.*  A run carries its own words, so texts are never shuffled; the
+  windows of the runs that met are compared as exact word sequences, and
+  overlapping hits grow into maximal spans.
 
-Words of documents are hashed on a Unicode-lowered text (a cheap fold that can
-only merge more windows); the exact comparison lowers A-Z alone.
+Words are hashed lowered by Unicode (a cheap fold that can only merge more
+windows); the exact comparison lowers A-Z alone.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from .common import ascii_lower, row_key, spread_scan, written
 
 #: everything that is not a word character: ASCII other than digits and letters
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SALT = 32
 
 
@@ -37,12 +39,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), NOT_WORD), lambda w: w != "")
 
 
-def folded_words(text: Column) -> Column:
-    """As ``words_of`` on a text lowered as a whole.  Lowering maps word
-    characters to word characters, so positions agree with ``words_of``."""
-    return words_of(F.lower(text))
-
-
 def gram_size(length: int) -> int:
     """Words in a k-gram of a window of ``length`` words."""
     return (length + 1) // 2
@@ -74,23 +70,25 @@ def benchmark_windows(items: DataFrame, window: int, id_col: str, text_col: str)
         "transform(sequence(0, size(w) - len), i -> array_join(slice(w, i + 1, len), ' '))")).alias("content"))
     wins = wins.groupBy("len", "content").agg(F.collect_set("item").alias("items"))
     # the fingerprint of a window, from its folded words; one branch per length
-    w = wins.withColumn("fw", F.split(F.lower("content"), " "))
+    w = wins.withColumn("h", F.transform(F.split("content", " "), lambda x: F.xxhash64(F.lower(x))))
     fp = F.lit(None).cast("long")
     for n in range(1, window + 1):
         k = gram_size(n)
-        grams = [F.xxhash64(*[F.get("fw", F.lit(i + d)) for d in range(k)]) for i in range(n - k + 1)]
+        grams = [F.xxhash64(*[F.get("h", F.lit(i + d)) for d in range(k)]) for i in range(n - k + 1)]
         fp = F.when(F.col("len") == n, F.least(*grams) if len(grams) > 1 else grams[0]).otherwise(fp)
     return w.select("len", "content", fp.alias("fingerprint"), "items")
 
 
 def document_runs(docs: DataFrame, lengths: list[int]) -> DataFrame:
-    """(doc_id, rk, len, fingerprint, first, last): runs of windows that share
-    a fingerprint, for each window length."""
-    d = docs.select("doc_id", "rk", folded_words(F.col("text")).alias("w"))
+    """(doc_id, rk, len, fingerprint, first, last, span array<string>): runs of
+    windows that share a fingerprint, for each window length, with the words
+    from the first window's start to the last one's end."""
+    d = docs.select("doc_id", "rk", words_of(F.col("text")).alias("w"))
+    d = d.withColumn("h", F.transform("w", lambda x: F.xxhash64(F.lower(x))))
     for n in lengths:
-        d = d.withColumn(f"w_g{n}", F.expr(gram_hashes("w", n)))
+        d = d.withColumn(f"h_g{n}", F.expr(gram_hashes("h", n)))
     for n in lengths:
-        d = d.withColumn(f"m{n}", F.expr(window_minima("w", n)))
+        d = d.withColumn(f"m{n}", F.expr(window_minima("h", n)))
     per_length = []
     for n in lengths:
         m = f"m{n}"
@@ -98,7 +96,8 @@ def document_runs(docs: DataFrame, lengths: list[int]) -> DataFrame:
         d = d.withColumn(f"s{n}", F.expr(f"IF(size({m}) = 0, array(), {starts})"))
         per_length.append(
             f"transform(s{n}, (s, j) -> struct({n} AS len, get({m}, s) AS fingerprint, s AS first, "
-            f"coalesce(get(s{n}, j + 1), size({m})) - 1 AS last))")
+            f"coalesce(get(s{n}, j + 1), size({m})) - 1 AS last, "
+            f"slice(w, s + 1, coalesce(get(s{n}, j + 1), size({m})) - s - 1 + {n}) AS span))")
     runs = per_length[0] if len(per_length) == 1 else f"concat({', '.join(per_length)})"
     return d.select("doc_id", "rk", F.explode(F.expr(runs)).alias("r")).select("doc_id", "rk", "r.*")
 
@@ -128,23 +127,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
     own = spread_scan(own)
     wins = written(benchmark_windows(items, window, item_col, item_text), "benchmark-windows")
     lengths = sorted(r.len for r in wins.select("len").distinct().collect())  # at most ``window`` rows
-    counted = own.select("doc_id", "rk", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    counted = own.select("doc_id", "rk", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
     none = (F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
             F.lit(None).cast("array<string>").alias("items"),
             F.lit(None).cast("array<struct<first:int,last:int>>").alias("spans"))
     if not lengths:
         return counted.select("*", *none)
     met = met_runs(document_runs(own, lengths), wins.select("len", "fingerprint").distinct(), max_broadcast)
-    ranges = written(met.groupBy("doc_id", "rk").agg(
-        F.collect_set(F.struct("len", "first", "last")).alias("runs")), "met-runs")
-    # the exact comparison, on the documents that met the benchmark at all
-    near = own.join(ranges, own["doc_id"].eqNullSafe(ranges["doc_id"]) & (own["rk"] == ranges["rk"])).select(
-        own["doc_id"], own["rk"], "runs", words_of(ascii_lower(F.col("text"))).alias("w"))
-    tried = (near.select("doc_id", "rk", "runs", "w", F.size("w").alias("n"))
-             .select("doc_id", "rk", F.explode(F.expr(
-                 "flatten(transform(runs, r -> transform(sequence(r.first, r.last), "
-                 "i -> struct(r.len AS len, i AS first, array_join(slice(w, i + 1, r.len), ' ') AS content))))"
-             )).alias("t")).select("doc_id", "rk", "t.*"))
+    tried = (met.select("doc_id", "rk", F.explode(F.expr(
+        "transform(sequence(0, last - first), i -> struct(len, CAST(first + i AS INT) AS first, "
+        "array_join(slice(span, i + 1, len), ' ') AS content))")).alias("t"))
+        .select("doc_id", "rk", "t.len", "t.first", ascii_lower(F.col("t.content")).alias("content")))
     known = wins.select("len", "content", "items")
     if wins.count() <= max_broadcast // 10:
         known = F.broadcast(known)
