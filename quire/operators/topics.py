@@ -23,7 +23,9 @@ def term_shares(bow: DataFrame, groups: DataFrame, *, id_col: str = "doc_id", gr
     term's share of the group's tokens."""
     g = bow.join(groups.select(id_col, F.col(group_col).alias("topic")), id_col)
     tot = g.groupBy("topic", "term").agg(F.sum("tf").alias("_tf"))
-    return tot.withColumn("weight", F.col("_tf") / F.sum("_tf").over(Window.partitionBy("topic"))).drop("_tf")
+    # one row per topic: totals by an aggregate, so no topic's vocabulary meets in one task
+    sums = g.groupBy("topic").agg(F.sum("tf").alias("_all"))
+    return tot.join(F.broadcast(sums), "topic").withColumn("weight", F.col("_tf") / F.col("_all")).drop("_tf", "_all")
 
 
 def doc_topic_mix(bow: DataFrame, topics: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
@@ -147,10 +149,12 @@ def best_k(scores: DataFrame) -> DataFrame:
 def topic_distribution(topics: DataFrame) -> DataFrame:
     """Weights min-max scaled within each topic, then made to sum to 1
     (for signed loadings)."""
-    w = Window.partitionBy("topic")
-    lo, hi = F.min("weight").over(w), F.max("weight").over(w)
-    mm = topics.withColumn("_m", F.coalesce(F.try_divide(F.col("weight") - lo, hi - lo), F.lit(0.0)))
-    return mm.withColumn("weight", F.coalesce(F.try_divide(F.col("_m"), F.sum("_m").over(w)), F.lit(0.0))).drop("_m")
+    ends = topics.groupBy("topic").agg(F.min("weight").alias("_lo"), F.max("weight").alias("_hi"))  # one row per topic
+    mm = topics.join(F.broadcast(ends), "topic").withColumn(
+        "_m", F.coalesce(F.try_divide(F.col("weight") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0)))
+    sums = mm.groupBy("topic").agg(F.sum("_m").alias("_all"))
+    return mm.join(F.broadcast(sums), "topic").withColumn(
+        "weight", F.coalesce(F.try_divide("_m", "_all"), F.lit(0.0))).drop("_lo", "_hi", "_m", "_all")
 
 
 def topic_distances(topics: DataFrame) -> DataFrame:

@@ -113,8 +113,8 @@ def q_average(spark, sf):
 # ------------------------------------------------------------ topic models
 
 def count_matrix(spark, sf, n_terms: int = 5000):
-    """English documents as count vectors over the top ``n_terms`` terms."""
-    d = spread(Tables(spark, sf).documents.filter(F.col("lang") == "en").select("doc_id", "text"), "doc_id")
+    """Documents as count vectors over the top ``n_terms`` terms."""
+    d = spread(Tables(spark, sf).documents.select("doc_id", "text"), "doc_id")
     t = d.select("doc_id", alpha_lower(word_tokens("text")).alias("tokens"))
     vecs, cv = X.mllib_count_vectors(t, n_terms)
     return vecs.select("doc_id", "features"), cv.vocabulary
@@ -147,7 +147,7 @@ def q_perplexity(spark, sf):
 
 def tfidf_vectors(spark, sf, n_terms: int = 2000):
     """Plain TF-IDF (L2 then L1) of the top terms as dense vectors."""
-    d = spread(Tables(spark, sf).documents.filter(F.col("lang") == "en").select("doc_id", "text"), "doc_id")
+    d = spread(Tables(spark, sf).documents.select("doc_id", "text"), "doc_id")
     t = d.select("doc_id", alpha_lower(word_tokens("text")).alias("tokens"))
     cv = X.count_vectors(t, n_terms)
     w = X.normalize(X.normalize(X.tfidf(cv.drop("term_id"), X.count_docs(t), variant="plain"), "l2"), "l1")

@@ -11,6 +11,7 @@ from ..operators import text as T
 from ..operators.vocab import term_stats, token_counts
 from . import sqlfrag as S
 from . import sqlfrag_text as ST
+from ..session import stored
 from .registry import Tables, register
 
 # Fixed value: the reference's substitution map (carriage return removed,
@@ -113,10 +114,10 @@ def q_alpha(spark, sf):
 
 
 # ----- stop words: the list is derived from the corpus (most frequent words
-# of the English documents) so both engines share it.
+# of all documents) so both engines share it.
 
 def en_alpha(spark, sf, lower=True) -> DataFrame:
-    d = spread(Tables(spark, sf).documents.filter(F.col("lang") == "en").select("doc_id", "text"), "doc_id")
+    d = spread(Tables(spark, sf).documents.select("doc_id", "text"), "doc_id")
     toks = word_tokens("text")
     if lower:
         return d.select("doc_id", alpha_lower(toks).alias("tokens"))
@@ -125,12 +126,12 @@ def en_alpha(spark, sf, lower=True) -> DataFrame:
 
 def derived_stopwords(spark, sf, n=N_STOP) -> DataFrame:
     stats = term_stats(en_alpha(spark, sf))
-    return stats.orderBy(F.desc("tf"), F.asc("term")).limit(n).select(F.col("term").alias("word"))
+    return stored(stats.orderBy(F.desc("tf"), F.asc("term")).limit(n).select(F.col("term").alias("word")), "stop-words")
 
 
-_EN = f"SELECT doc_id, {S.alpha_lower(S.word_tokens('text'))} AS tokens FROM documents WHERE lang = 'en'"
+_EN = f"SELECT doc_id, {S.alpha_lower(S.word_tokens('text'))} AS tokens FROM documents"
 _EN_RAW = (f"SELECT doc_id, list_filter({S.word_tokens('text')}, lambda t: regexp_full_match(t, '\\p{{L}}+')) AS tokens "
-           f"FROM documents WHERE lang = 'en'")
+           "FROM documents")
 _STOPS = f"""stops AS (SELECT list(term) AS sl FROM (
     SELECT term FROM (SELECT unnest(tokens) AS term FROM ({_EN})) GROUP BY term
     ORDER BY count(*) DESC, term LIMIT {N_STOP}))"""

@@ -99,7 +99,7 @@ def q_tfidf_ratio(spark, sf):
 
 
 _EN_GRAMS = f"""
-  t AS (SELECT doc_id, {_ALPHA} AS tokens FROM documents WHERE lang = 'en'),
+  t AS (SELECT doc_id, {_ALPHA} AS tokens FROM documents),
   g AS (SELECT doc_id, unnest(flatten([{ST.ngrams('tokens', 1)}, {ST.ngrams('tokens', 2)}, {ST.ngrams('tokens', 3)}])) AS term FROM t),
   b AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY doc_id, term),
   n AS (SELECT count(*) AS n FROM t),
@@ -111,7 +111,7 @@ _EN_GRAMS = f"""
 
 
 def en_grams(spark, sf) -> DataFrame:
-    d = spread(Tables(spark, sf).documents.filter(F.col("lang") == "en").select("doc_id", "text"), "doc_id")
+    d = spread(Tables(spark, sf).documents.select("doc_id", "text"), "doc_id")
     t = d.select("doc_id", alpha_lower(word_tokens("text")).alias("tokens"))
     return T.ngrams(t, 1, 3, out="grams").select("doc_id", F.col("grams").alias("tokens"))
 

@@ -13,6 +13,7 @@ from ..operators import fuzzy as FZ
 from ..operators import text as T
 from ..operators import words as N
 from . import sqlfrag as S
+from ..session import stored
 from .registry import Tables, register
 
 _Q = S.sql_str
@@ -165,15 +166,16 @@ _TRAIN = "WHERE doc_id IN (SELECT doc_id FROM labels)"
 def _model_sql(key: str, name: str, cond: str = "") -> str:
     return f"""
   SELECT {name}, arg_min(tag, (-n, tag)) AS tag_{name} FROM (
-    SELECT {key} AS {name}, tag, count(*) AS n FROM ({_tagged_sql(_TRAIN)}) {cond} GROUP BY ALL) GROUP BY {name}"""
+    SELECT {key} AS {name}, tag, count(*) AS n FROM tr {cond} GROUP BY ALL) GROUP BY {name}"""
 
 
 _MODEL = f"""
+  tr AS MATERIALIZED ({_tagged_sql(_TRAIN)}),
   mw AS ({_model_sql('token', 'word')}),
   m3 AS ({_model_sql('right(token, 3)', 'suf3', 'WHERE length(token) >= 3')}),
   m2 AS ({_model_sql('right(token, 2)', 'suf2', 'WHERE length(token) >= 2')}),
-  rt AS ({_tagged_sql()}),
-  mt AS (SELECT rt.doc_id, rt.pos, rt.token, coalesce(mw.tag_word, m3.tag_suf3, m2.tag_suf2, 'NN') AS tag
+  rt AS MATERIALIZED ({_tagged_sql()}),
+  mt AS MATERIALIZED (SELECT rt.doc_id, rt.pos, rt.token, coalesce(mw.tag_word, m3.tag_suf3, m2.tag_suf2, 'NN') AS tag
          FROM rt LEFT JOIN mw ON mw.word = rt.token
          LEFT JOIN m3 ON m3.suf3 = CASE WHEN length(rt.token) >= 3 THEN right(rt.token, 3) END
          LEFT JOIN m2 ON m2.suf2 = CASE WHEN length(rt.token) >= 2 THEN right(rt.token, 2) END)"""
@@ -182,7 +184,7 @@ _MODEL = f"""
 def tagger(spark, sf):
     tb = Tables(spark, sf)
     train_docs = tb.documents.join(tb.labels.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
-    model = A.train_tagger(rule_tagged(train_docs))
+    model = {k: stored(m, f"tagger-{k}") for k, m in A.train_tagger(rule_tagged(train_docs)).items()}
     rows = rule_tagged(all_docs(spark, sf))
     return rows, A.apply_tagger(rows.drop("tag"), model)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,5 +61,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back.
+    For small derived tables (stop words, lexicons, models): they are computed
+    once, and their size in bytes is known to the planner, which broadcasts
+    them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles above."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
