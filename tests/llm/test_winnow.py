@@ -48,7 +48,7 @@ def tables(seed=5):
               (None, "an item without any id but with more than ten words in it"), (3, "a second text of item 3, of nine words"),
               (26, "a a a a a a a a a a a a")]
     docs = []
-    for i in range(60):
+    for i in range(30):
         w = [rnd.choice(vocab) for _ in range(rnd.randint(1, 80))]
         if rnd.random() < 0.6:
             src = (rnd.choice(items)[1] or "").split()
@@ -56,7 +56,7 @@ def tables(seed=5):
             w[rnd.randrange(len(w)):0] = [x.upper() if x.isascii() else x for x in src[a:a + rnd.randint(5, 30)]]
         docs.append((i, rnd.choice([" ", ", ", "\n"]).join(w)))
     docs += [(100, None), (101, ""), (102, "?!"), (None, items[0][1]), (5, items[1][1]), (5, items[1][1]),
-             (103, "a " * 3000), (104, "One " * 50), (105, "x " * 20_000 + items[2][1])]
+             (103, "a " * 3000), (104, "One " * 50), (105, "x " * 4000 + items[2][1])]
     return docs, items
 
 
