@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 SLICE = 1_000_000  # characters handled at once
-KEEP = 300_000     # cached chunks of a worker
+KEEP = 800_000     # cached chunks of a worker, about 250 MB
 # the last three are white space to some Unicode versions only
 BLANK = r"\s\u180e\u200b\ufeff"
 CUT = re.compile(rf"(?<=[^{BLANK}]) (?=[^{BLANK}])")
