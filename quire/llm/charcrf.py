@@ -334,8 +334,10 @@ def train_tagger(docs: DataFrame, limit: int = 600, most_windows: int = 1_500) -
                         [pa.array([r.astype(np.int8).tobytes() for r in x]), pa.array([r.astype(np.int8).tobytes() for r in y])],
                         ["x", "y"])
 
-    sample = (docs.select("text").filter(F.col("text").rlike("[0-9@]"))
-              .withColumn("h", F.xxhash64("text")).orderBy("h").limit(limit).select("text"))
+    hashed = docs.select("text", F.xxhash64("text").alias("h")).filter(F.col("text").rlike("[0-9@]"))
+    # hashes alone are sorted; the ``limit`` chosen ones are a bounded broadcast
+    chosen = hashed.select("h").distinct().orderBy("h").limit(limit)
+    sample = hashed.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.first("text").alias("text")).select("text")
     got = sample.mapInArrow(cut, "x binary, y binary").orderBy("x", "y").limit(most_windows).collect()
     if not got:
         return None
