@@ -170,8 +170,11 @@ def top_k_products(vectors: DataFrame, k: int = 20, every: int = 20, scale: floa
             .filter(F.col("r") <= seeds).groupBy("dim")
             .agg(F.collect_list("vec_id").alias("ids"), F.collect_list("v").alias("vs"), F.collect_list("norm").alias("norms"))
             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))))  # at most ``seeds`` vectors a copy
-    counts = queries.groupBy("dim").agg(F.count(F.lit(1)).alias("nq"))
-    grouped = (queries.join(counts, "dim")
+    # one row per dimension, or per dimension and bucket (the doubles' range has
+    # about 15,000 buckets at ratio 1.1): bounded broadcasts, so that rows meet
+    # their counts without being dealt by a few hot keys
+    counts = written(queries.groupBy("dim").agg(F.count(F.lit(1)).alias("nq")), "counts")
+    grouped = (queries.join(F.broadcast(counts), "dim")
                .withColumn("qb", F.expr(f"pmod(xxhash64(vec_id, v), CAST(ceil(nq / {query_block}) AS BIGINT))"))
                .groupBy("dim", "qb").agg(F.collect_list("vec_id").alias("q_ids"), F.collect_list("v").alias("q_vs"),
                                          F.collect_list("norm").alias("q_norms")))
@@ -195,16 +198,16 @@ def top_k_products(vectors: DataFrame, k: int = 20, every: int = 20, scale: floa
     need = F.when((F.col("floor") > 0) & (F.col("q_norm") > 0),
                   F.floor(F.log(F.col("floor") / F.col("q_norm")) / F.lit(math.log(ratio))) - 1).otherwise(-10_000).cast("int")
     bounded = bounded.withColumn("need", need)
-    needs = bounded.groupBy("dim", "need").agg(F.count(F.lit(1)).alias("nq"))
-    q_blocks = (bounded.join(needs, ["dim", "need"])
+    needs = written(bounded.groupBy("dim", "need").agg(F.count(F.lit(1)).alias("nq")), "needs")
+    q_blocks = (bounded.join(F.broadcast(needs), ["dim", "need"])
                 .withColumn("qb", F.expr(f"pmod(xxhash64(q_id, q_v), CAST(ceil(nq / {query_block}) AS BIGINT))"))
                 .groupBy("dim", "need", "qb").agg(
                     F.collect_list("q_id").alias("q_ids"), F.collect_list("q_v").alias("q_vs"),
                     F.collect_list(F.xxhash64("q_v")).alias("q_keys"),
                     F.collect_list("q_norm").alias("q_norms"), F.collect_list("floor").alias("floors")))
-    sizes = data.groupBy("dim", "bucket").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "parts", F.ceil(F.col("n") / F.lit(float(block))).cast("int"))
-    v_blocks = (data.join(sizes, ["dim", "bucket"])
+    sizes = written(data.groupBy("dim", "bucket").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "parts", F.ceil(F.col("n") / F.lit(float(block))).cast("int")), "sizes")
+    v_blocks = (data.join(F.broadcast(sizes), ["dim", "bucket"])
                 .withColumn("part", F.expr("CAST(pmod(xxhash64(vec_id, v), parts) AS INT)"))
                 .groupBy("dim", "bucket", "part").agg(
                     F.collect_list("vec_id").alias("ids"), F.collect_list("v").alias("vs"),
