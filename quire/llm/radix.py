@@ -28,6 +28,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,6 +223,14 @@ def shared_digits(docs: DataFrame, depth: int, buckets: int, frequent: np.ndarra
     return dealt.groupBy("bucket").applyInArrow(meet, "doc_id long, rk long, bucket int, digits binary")
 
 
+def squeezed(raw: bytes) -> bytes:
+    return zstandard.compress(raw, 3)
+
+
+def unsqueezed(raw: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(raw), kind)
+
+
 def gathered(buf: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Bytes [at, at + size) of each entry, one after the other."""
     base = np.repeat(at - (np.cumsum(size) - size), size)
@@ -269,8 +279,9 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
     document with a smaller id."""
     per_doc = digits.groupBy("doc_id", "rk").agg(
         F.collect_list(F.struct("bucket", "digits")).alias("shared"))
-    how = "left" if len(frequent) else "inner"
-    near = docs.filter("doc_id IS NOT NULL").join(per_doc, ["doc_id", "rk"], how).select("doc_id", "text", "rk", "shared")
+    # a left join on the same columns as the last one, so that one exchange of
+    # the texts serves both; documents without shared digits leave in the task
+    near = docs.join(per_doc, ["doc_id", "rk"], "left").select("doc_id", "text", "rk", "shared")
 
     def flush(ids, keys, runs):
         """runs: (doc, digit, pos, count, sizes, bytes) of several slices."""
@@ -286,11 +297,11 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
             used, local = np.unique(doc[o], return_inverse=True)
             raw = gathered(buf, offset[o], size[o]).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b[o[0]]], pa.int32()), *(pa.array([x], pa.binary()) for x in packed(
+                [pa.array([b[o[0]]], pa.int32()), *(pa.array([squeezed(x)], pa.binary()) for x in packed(
                     [ids[used], keys[used], local.astype(np.uint32), (digit[o] // np.uint64(out_buckets)).astype(np.uint32),
                      pos[o].astype(np.int64), count[o].astype(np.uint8)])),
-                 pa.array([pa.compress(raw, "zstd", asbytes=True)], pa.binary()), pa.array([len(raw)], pa.int64())],
-                ["bucket", "ids", "keys", "doc", "digit", "pos", "count", "bytes", "n_bytes"])
+                 pa.array([squeezed(raw)], pa.binary())],
+                ["bucket", "ids", "keys", "doc", "digit", "pos", "count", "bytes"])
 
     def decided(ids, keys, doc, pos):
         """Windows settled inside a batch, as ranges, marked by bucket -1 - k."""
@@ -301,10 +312,10 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
         cuts = np.flatnonzero(new)
         last = np.append(cuts[1:], len(doc)) - 1
         yield pa.RecordBatch.from_arrays(
-            [pa.array([-1 - int(ids[doc[0]] % out_buckets)], pa.int32()), *(pa.array([x], pa.binary()) for x in packed(
+            [pa.array([-1 - int(ids[doc[0]] % out_buckets)], pa.int32()), *(pa.array([squeezed(x)], pa.binary()) for x in packed(
                 [ids[doc[cuts]], keys[doc[cuts]], np.empty(0), np.empty(0), pos[cuts].astype(np.int64),
-                 pos[last].astype(np.int64)])), pa.array([b""], pa.binary()), pa.array([0], pa.int64())],
-            ["bucket", "ids", "keys", "doc", "digit", "pos", "count", "bytes", "n_bytes"])
+                 pos[last].astype(np.int64)])), pa.array([b""], pa.binary())],
+            ["bucket", "ids", "keys", "doc", "digit", "pos", "count", "bytes"])
 
     def single_windows(raws_buf, starts, r, pick, ids, base):
         """Windows of frequent runs: equal ones of the slice are merged to their
@@ -339,6 +350,8 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
         runs: list = []
         held = 0
         for b in batches:
+            if not len(frequent):
+                b = b.filter(pc.is_valid(b.column(3)))
             for part in batches_of(b):
                 raws = utf8(part.column(1).to_pylist())
                 r = Runs(raws, depth)
@@ -389,7 +402,7 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
 
     def settle(table: pa.Table) -> pa.Table:
         if table["bucket"][0].as_py() < 0:
-            parts = [[np.frombuffer(r[c], t) for c, t in (("ids", np.int64), ("keys", np.uint32), ("pos", np.int64),
+            parts = [[unsqueezed(r[c], t) for c, t in (("ids", np.int64), ("keys", np.uint32), ("pos", np.int64),
                                                           ("count", np.int64))] for r in table.to_pylist()]
             ids, keys, first, last = (np.concatenate([p[k] for p in parts]) for k in range(4))
             return rows(ids, keys.astype(np.int64), first, last)
@@ -398,14 +411,14 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
         least: list[int] = []
         owner, key, pos, count, of = [], [], [], [], []
         for r in table.to_pylist():
-            ids, rks = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["keys"], np.uint32)
-            doc = np.frombuffer(r["doc"], np.uint32)
-            n = np.frombuffer(r["count"], np.uint8).astype(np.int64)
-            raw = pa.decompress(r["bytes"], r["n_bytes"], "zstd", asbytes=True)
+            ids, rks = unsqueezed(r["ids"], np.int64), unsqueezed(r["keys"], np.uint32)
+            doc = unsqueezed(r["doc"], np.uint32)
+            n = unsqueezed(r["count"], np.uint8).astype(np.int64)
+            raw = zstandard.decompress(r["bytes"])
             ends = np.cumsum(n + depth - 1)
             names = ids[doc].tolist()
             which = []
-            for d, a, z, i in zip(np.frombuffer(r["digit"], np.uint32).tolist(), (ends - n - depth + 1).tolist(),
+            for d, a, z, i in zip(unsqueezed(r["digit"], np.uint32).tolist(), (ends - n - depth + 1).tolist(),
                                   ends.tolist(), names):
                 c = content.setdefault((d, raw[a:z]), len(least))
                 if c == len(least):
@@ -415,7 +428,7 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
                 which.append(c)
             owner.append(ids[doc])
             key.append(rks[doc])
-            pos.append(np.frombuffer(r["pos"], np.int64))
+            pos.append(unsqueezed(r["pos"], np.int64))
             count.append(n)
             of.append(np.array(which, np.int64))
         owner, key, pos, count, of = (np.concatenate(x) for x in (owner, key, pos, count, of))
@@ -460,7 +473,7 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
         return rows(doc_id, rk.astype(np.int64), first, last)
 
     dealt = near.mapInArrow(deal, "bucket int, ids binary, keys binary, doc binary, digit binary, pos binary, "
-                                  "count binary, bytes binary, n_bytes long")
+                                  "count binary, bytes binary")
     return dealt.groupBy("bucket").applyInArrow(settle, "doc_id long, rk long, first long, last long")
 
 
@@ -495,18 +508,24 @@ def remove_repeats(docs: DataFrame, depth: int = 50, id_col: str = "doc_id", tex
     gives an empty table.  ``depth`` is at least 17 bytes."""
     if depth < GRAM + 1:
         raise ValueError(f"depth must be at least {GRAM + 1}")
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # no alias on a plain id: the optimizer drops it on one side of the two joins
+    # below only, and their equal exchanges would no longer be seen as one
+    plain = id_col == "doc_id" and docs.schema[id_col].dataType.simpleString() == "bigint"
+    own = docs.select(F.col(id_col) if plain else F.col(id_col).cast("long").alias("doc_id"),
+                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     own = own.withColumn("rk", F.crc32(F.col("text").cast("binary")))
     size = own.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     out_buckets = max(1, -(-(size.b or 0) // bucket_bytes))
     buckets = max(1, -(-out_buckets // 4))
-    spread = spread_scan(own)
-    named = spread.filter("doc_id IS NOT NULL")
-    frequent = frequent_digits(named, depth, size.n, sample_one_in, frequent_share, frequent_least)
-    digits = shared_digits(named, depth, buckets, frequent)
-    starts = repeated_starts(own, digits, depth, buckets, out_buckets, frequent)
+    named = own.filter("doc_id IS NOT NULL").select("doc_id", "text", "rk")
+    spread = spread_scan(named)
+    frequent = frequent_digits(spread, depth, size.n, sample_one_in, frequent_share, frequent_least)
+    digits = shared_digits(spread, depth, buckets, frequent)
+    starts = repeated_starts(named, digits, depth, buckets, out_buckets, frequent)
     ranges = starts.groupBy("doc_id", "rk").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
-    joined = own.join(ranges, ["doc_id", "rk"], "left").select("doc_id", "text", "ranges")
+    nameless = own.filter("doc_id IS NULL").select(
+        "doc_id", "text", F.lit(None).cast(ranges.schema["ranges"].dataType).alias("ranges"))
+    joined = named.join(ranges, ["doc_id", "rk"], "left").select("doc_id", "text", "ranges").union(nameless)
 
     def cut(batches):
         for b in batches:
