@@ -154,8 +154,8 @@ def packed(arrays: list[np.ndarray]) -> list[bytes]:
 
 
 def shared_digits(docs: DataFrame, depth: int, buckets: int, frequent: np.ndarray) -> DataFrame:
-    """(doc_id, rk, bucket, digits binary): the digits of a document that
-    another document also has, frequent ones left out."""
+    """(doc_id, rk, digit): the digits of a document that another document also
+    has, one row each, frequent ones left out."""
     def deal(batches):
         ids, keys, doc, digit = [], [], [], []
         held = 0
@@ -209,18 +209,13 @@ def shared_digits(docs: DataFrame, depth: int, buckets: int, frequent: np.ndarra
         several = np.minimum.reduceat(owner, cuts) != np.maximum.reduceat(owner, cuts)
         keep = np.repeat(several, np.diff(np.append(cuts, len(digit))))
         doc, digit = doc[keep], digit[keep]
-        order = np.lexsort((digit, doc))
-        doc, digit = doc[order], digit[order]
-        cuts = np.append(np.flatnonzero(np.diff(doc, prepend=-1)), len(doc))
-        at = doc[cuts[:-1]]
-        return pa.table({
-            "doc_id": pa.array(ids[at]), "rk": pa.array(keys[at].astype(np.int64)),
-            "bucket": pa.array([int(table["bucket"][0].as_py())] * len(at), pa.int32()),
-            "digits": pa.array([digit[a:z].tobytes() for a, z in zip(cuts, cuts[1:])], pa.binary())})
+        # the kept bits of a digit and its bucket make one number
+        kept = digit.astype(np.int64) * buckets + int(table["bucket"][0].as_py())
+        return pa.table({"doc_id": pa.array(ids[doc]), "rk": pa.array(keys[doc].astype(np.int64)), "digit": pa.array(kept)})
 
     dealt = docs.select("doc_id", "text", "rk").mapInArrow(
         deal, "bucket int, ids binary, keys binary, doc binary, digit binary")
-    return dealt.groupBy("bucket").applyInArrow(meet, "doc_id long, rk long, bucket int, digits binary")
+    return dealt.groupBy("bucket").applyInArrow(meet, "doc_id long, rk long, digit long")
 
 
 def squeezed(raw: bytes) -> bytes:
@@ -278,7 +273,7 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
     """(doc_id, rk, first, last): ranges of window starts that also start in a
     document with a smaller id."""
     per_doc = digits.groupBy("doc_id", "rk").agg(
-        F.collect_list(F.struct("bucket", "digits")).alias("shared"))
+        F.collect_list("digit").alias("shared"))
     # a left join on the same columns as the last one, so that one exchange of
     # the texts serves both; documents without shared digits leave in the task
     near = docs.join(per_doc, ["doc_id", "rk"], "left").select("doc_id", "text", "rk", "shared")
@@ -355,11 +350,7 @@ def repeated_starts(docs: DataFrame, digits: DataFrame, depth: int, buckets: int
             for part in batches_of(b):
                 raws = utf8(part.column(1).to_pylist())
                 r = Runs(raws, depth)
-                wanted = []
-                for x in part.column(3).to_pylist():
-                    wanted.append(np.concatenate([
-                        np.frombuffer(s["digits"], np.uint32).astype(np.uint64) * np.uint64(buckets) + np.uint64(s["bucket"])
-                        for s in x]) if x else np.empty(0, np.uint64))
+                wanted = [np.array(x or [], np.int64).astype(np.uint64) for x in part.column(3).to_pylist()]
                 # the 32 bits kept of a digit, per document
                 short = ((r.digit // np.uint64(buckets)).astype(np.uint32).astype(np.uint64) * np.uint64(buckets)
                          + r.digit % np.uint64(buckets))
