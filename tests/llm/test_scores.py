@@ -28,8 +28,10 @@ def test_quality_beats_majority_on_held_out_labels(spark, tables):
     assert kept >= 0.98 and wrong <= 0.1
 
 
-def test_severity_on_held_out_labels(spark, tables):
-    caught, wrong, *_ = held_out(spark, tables, score_severity, "toxic", "toxic")
+def test_severity_on_held_out_labels(spark):
+    # sf0.01 has under 30 toxic training documents, too few to meet each language's words
+    larger = tuple(spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    caught, wrong, *_ = held_out(spark, larger, score_severity, "toxic", "toxic")
     assert caught >= 0.75 and wrong <= 0.02
 
 
