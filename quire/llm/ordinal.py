@@ -7,9 +7,12 @@ thresholds between grades differ:
 
 Features are the distinct words of a text and their 4- and 5-character
 beginnings, so a new inflection of a known stem still counts.  Only features
-that at least ``min_share`` of the toxic documents of the sample have, ``min_lift``
-times the share of the clean ones and significantly so (log-likelihood ratio of
-at least ``min_ratio``), are kept, which leaves a sparse model.  The expected severity is the sum of P(grade >= k).
+whose share of the toxic documents of the sample is ``min_lift`` times that of
+the clean ones, significantly so (log-likelihood ratio of at least
+``min_ratio``), are kept, which leaves a sparse model.  No share of all toxic
+documents is asked for: words of a language with few of them would never reach
+it.  Every kept feature speaks for toxicity, so weights are not negative.  The
+expected severity is the sum of P(grade >= k).
 
 Labels hold one bit (toxic or not).  For training, toxic documents are graded
 1..K by how much of their vocabulary is made of features that are far more
@@ -90,18 +93,19 @@ def severity_grades(sets: list[set[str]], toxic: np.ndarray, grades: int) -> np.
 
 
 def fit_cumulative_link(sets: list[set[str]], grade: np.ndarray, grades: int, max_features: int,
-                        min_ratio: float = 16.0, min_lift: float = 60.0, min_share: float = 0.03,
+                        min_ratio: float = 16.0, min_lift: float = 60.0,
                         ridge: float = 0.002, rounds: int = 1500, rate: float = 0.05) -> CumulativeLink:
     """Adam on the mean log-likelihood.  Thresholds are a start and positive
     steps, so their order holds throughout; every threshold's error flows into
-    the same weights."""
+    the same weights, which are kept at zero or above after each step."""
     good = Counter(f for s, g in zip(sets, grade) if not g for f in s)
     bad = Counter(f for s, g in zip(sets, grade) if g for f in s)
     n_bad = int((grade > 0).sum())
     ratio = {f: likelihood_ratio(bad[f], n_bad, good[f], len(sets) - n_bad) for f in good.keys() | bad.keys()}
     n_good = len(sets) - n_bad
     kept = sorted((f for f, x in ratio.items()
-                   if x >= min_ratio and bad[f] >= min_share * n_bad and bad[f] * n_good >= min_lift * good[f] * n_bad), key=lambda f: (-ratio[f], f))[:max_features]
+                   if x >= min_ratio and bad[f] * n_good >= min_lift * good[f] * n_bad),
+                  key=lambda f: (-ratio[f], f))[:max_features]
     index = {f: i for i, f in enumerate(kept)}
     rows = [np.array(sorted(index[f] for f in s if f in index), np.int64) for s in sets]
     cols = np.concatenate(rows) if rows else np.empty(0, np.int64)
@@ -128,6 +132,7 @@ def fit_cumulative_link(sets: list[set[str]], grade: np.ndarray, grades: int, ma
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         theta -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        theta[:nf] = np.maximum(theta[:nf], 0.0)
     cuts = theta[nf] + np.concatenate([[0.0], np.cumsum(np.exp(theta[nf + 1:]))])
     p = sigmoid(np.bincount(at, theta[:nf][cols], n) - cuts[0])
     tries = np.unique(np.round(p, 3))

@@ -35,6 +35,31 @@ def test_severity_on_held_out_labels(spark):
     assert caught >= 0.75 and wrong <= 0.02
 
 
+@pytest.mark.xfail(strict=True, reason="8 of 13 caught: the 3 German and 2 Spanish ones share no significant word "
+                                       "with the 3 and 2 toxic training documents of their languages")
+def test_severity_on_held_out_labels_sf001(spark, tables):
+    caught, wrong, *_ = held_out(spark, tables, score_severity, "toxic", "toxic")
+    assert caught >= 0.75 and wrong <= 0.02
+
+
+def test_severity_is_found_in_every_language(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = score_severity(docs, labels.filter("doc_id % 3 <> 0")).select("doc_id", F.col("toxic").alias("said"))
+    test = labels.filter("doc_id % 3 = 0 AND toxic = 1").join(docs.select("doc_id", "lang"), "doc_id")
+    share = {r.lang: r.x for r in got.join(test, "doc_id").groupBy("lang").agg(F.avg(F.col("said").cast("int")).alias("x")).collect()}
+    assert set(share) == {"en", "de", "fr", "es"} and min(share.values()) >= 0.5, share
+
+
+def test_rare_but_significant_words_count():
+    # 8 of 400 toxic documents are in the rarer language and share one word
+    clean = [{"ab"[i % 20 == 0], f"c{i % 50}"} for i in range(2000)]
+    toxic = [{"a", "vile"} for _ in range(392)] + [{"b", "ruin"} for _ in range(8)]
+    m = fit_cumulative_link(clean + toxic, np.array([0] * 2000 + [1 + i % 2 for i in range(400)]), 2, 100)
+    assert m.weights["ruin"] > 0 and min(m.weights.values()) > 0
+    p = m.exceed(np.array([m.weights["ruin"], 0.0]))[:, 0]
+    assert p[0] >= m.toxic_from > p[1]
+
+
 def test_sparse_sites_shrink(spark, tables):
     docs, labels = tables
     got = score_quality(docs, labels).collect()
