@@ -441,3 +441,10 @@ FROM v LEFT JOIN best USING (word)
 def q_spelling(spark, sf):
     v = vocab(spark, sf).filter(F.col("word").rlike("^[a-z]+$"))
     return FZ.correct_spelling(v, min_count=SPELL_MIN, max_dist=SPELL_DIST)
+
+
+@register("T16_correct_spelling_all")
+def q_spelling_all(spark, sf):
+    """T16 over the whole vocabulary.  No twin: DuckDB's ``levenshtein`` counts
+    bytes, so only the words of a-z (``T16_correct_spelling``) can be compared."""
+    return FZ.correct_spelling(vocab(spark, sf), min_count=SPELL_MIN, max_dist=SPELL_DIST)
