@@ -12,6 +12,7 @@ from ..session import table
 from .charcrf import find_personal_data
 from .ebayes import score_quality
 from .eliasfano import token_files
+from .fingerprints import fingerprint_documents, printed
 from .normsearch import top_k_products
 from .ordinal import score_severity
 from .packing import pack_documents
@@ -218,3 +219,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: fixed patterns and tagged spans."""
     return find_personal_data(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query("op13_winnow_fingerprints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of every document and its edited text."""
+    found = fingerprint_documents(table(spark, sf_dir, "documents"), gram=20, window=24)
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        printed("fingerprint").alias("fingerprint"), printed("edited_fingerprint").alias("edited_fingerprint"),
+        "near_edited", "near_next")
