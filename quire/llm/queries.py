@@ -224,7 +224,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_winnow_fingerprints")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every document and its edited text."""
-    found = fingerprint_documents(table(spark, sf_dir, "documents"), gram=20, window=24)
+    found = fingerprint_documents(table(spark, sf_dir, "documents"), gram=10, window=12)
     return found.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         printed("fingerprint").alias("fingerprint"), printed("edited_fingerprint").alias("edited_fingerprint"),
