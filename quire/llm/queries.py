@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,7 +13,9 @@ from ..session import table
 from .charcrf import find_personal_data
 from .ebayes import score_quality
 from .eliasfano import token_files
+from .filteraudit import audit_filters
 from .fingerprints import fingerprint_documents, printed
+from .hadamard import compress_vectors
 from .normsearch import top_k_products
 from .ordinal import score_severity
 from .packing import pack_documents
@@ -229,3 +232,98 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         printed("fingerprint").alias("fingerprint"), printed("edited_fingerprint").alias("edited_fingerprint"),
         "near_edited", "near_next")
+
+
+#: failure conditions over a text and its measures, in the order of their letters
+AUDIT_CONDITIONS = {
+    "A": "n_words < 200",
+    "B": "100L * n_distinct < 50L * n_words",
+    "C": "100L * n_upper > 3L * n_chars",
+    "D": "text RLIKE '[#$%&*|]'",
+}
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+rated AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 3 * length(x) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY x) THEN 16 ELSE 0 END AS mask
+  FROM t),
+counts AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM rated LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM f a JOIN f b ON b.letter <> a.letter JOIN f c ON c.letter NOT IN (a.letter, b.letter)
+  JOIN f d ON d.letter NOT IN (a.letter, b.letter, c.letter)
+  JOIN f e ON e.letter NOT IN (a.letter, b.letter, c.letter, d.letter)),
+steps AS (
+  SELECT filter_order, step, f.bit AS own,
+         (SELECT coalesce(sum(g.bit), 0) FROM f g WHERE strpos(filter_order, g.letter) < step)::INTEGER AS before
+  FROM orders CROSS JOIN (SELECT unnest(range(1, 6)) AS step) JOIN f ON f.letter = substr(filter_order, step::INTEGER, 1))
+SELECT part, filter_order, step::INTEGER AS step,
+       coalesce(sum(n) FILTER (mask & (before | own) = 0), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (mask & before <> 0 AND mask & own <> 0), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * 120 // greatest(bit_count(mask), 1)) FILTER (mask & own <> 0), 0)::BIGINT AS shapley
+FROM counts CROSS JOIN steps GROUP BY part, filter_order, step
+"""
+
+
+@query("op11_filter_audit", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order, per language."""
+    return audit_filters(spark, f"{sf_dir.rstrip('/')}/documents.parquet", AUDIT_CONDITIONS,
+                         table(spark, sf_dir, "labels"), copy_filter="E")
+
+
+def _round_sql(k: int) -> str:
+    """Nearest entries of codebook ``k``, and codebook ``k + 1`` from them."""
+    return f"""
+a{k} AS (
+  SELECT row, p, min(list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(v, c)])::BIGINT * 64 + entry) AS best
+  FROM cut JOIN b{k} USING (p) GROUP BY row, p),
+s{k} AS (
+  SELECT p, best % 64 AS entry, pos, sum(v[pos]) AS total, count(*) AS n
+  FROM a{k} JOIN cut USING (row, p), (SELECT unnest(range(1, (SELECT max(len(v)) FROM cut) + 1)) AS pos) GROUP BY ALL),
+m{k} AS (
+  SELECT p, entry, list((total - ((total % n) + n) % n) // n ORDER BY pos)::BIGINT[] AS c FROM s{k} GROUP BY p, entry),
+b{k + 1} AS (SELECT p, entry, coalesce(m{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN m{k} USING (p, entry)),"""
+
+
+OP12_SQL = f"""
+WITH v AS (
+  SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS ints FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+r AS (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, ints) AS row FROM v),
+cut AS (
+  SELECT row, p, ints[p * (len(ints) // 16) + 1:(p + 1) * (len(ints) // 16)] AS v
+  FROM (SELECT row, ints, unnest(range(0, 16)) AS p FROM r)),
+b0 AS (SELECT p, row - 1 AS entry, v AS c FROM cut WHERE row <= 64),{_round_sql(0)}{_round_sql(1)}{_round_sql(2).split("s2 AS")[0]}
+codes AS (
+  SELECT row, string_agg(printf('%02x', best % 64), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY row),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, entry)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM r JOIN codes USING (row), book
+"""
+
+
+@query("op12_hadamard_codes", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors: 16 parts, 64 entries each, two rounds."""
+    rows, books = compress_vectors(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256.0)
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return rows.select("vec_id", code.alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
