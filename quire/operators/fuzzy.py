@@ -1,11 +1,18 @@
 """String distance, fuzzy joins and spelling correction.
 
-Candidate pairs come from symmetric-delete blocking: two strings within edit
-distance d share a string obtained by deleting at most d characters from each
-(every edit of an optimal alignment is undone by one deletion on one side).
-Both sides emit their delete variants (``O(L^d)`` per string), the equi-join on
-the variant yields the candidates, and ``levenshtein`` verifies them.  The
-candidate set is exact and output-sensitive; no cross product is formed.
+Candidate pairs come from a prefix-bounded delete index.  Cut both strings to
+their first ``prefix`` characters.  An optimal alignment of two strings within
+edit distance d matches a common subsequence of the cut strings, and whatever
+it leaves over on either side is at most d characters: a character matched
+beyond the other side's cut takes the place of one that had to be edited.  So
+the cut strings share a string that is left of each after at most d deletions.
+A string has ``O(prefix^d)`` such keys however long it is.
+
+Keys are 64-bit hashes; those that only one side has are dropped before the
+shuffle by bitmaps of a fixed size.  Pairs that meet under a key are compared by length and
+``levenshtein`` in the stage of the join, before anything is shuffled again, so
+the index costs its keys and the result, not its candidates.  A key that many
+strings share makes a skewed join partition, which AQE splits.
 """
 
 from __future__ import annotations
@@ -14,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import c, explode_rows
+from ..session import stored
 
 
 def edit_distance(a, b, max_dist: int | None = None) -> Column:
@@ -56,49 +64,87 @@ def fuzzy_ratio(a, b) -> Column:
     return F.round(F.try_divide(F.lit(200.0) * lcs_length(a, b), total.cast("double"))).cast("long")
 
 
-def delete_variants(word, max_dist: int) -> Column:
-    """The word and every string obtained by deleting up to ``max_dist``
-    characters (distinct)."""
-    w = c(word)
-    level = F.array(w)
-    out = level
-    for _ in range(max_dist):
-        level = F.array_distinct(F.flatten(F.transform(level, lambda s: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))),
-            lambda i: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, 1 << 30))))))
-        level = F.filter(level, lambda s: F.length(s) < F.length(w))
-        out = F.array_union(out, level)
-    return out
+PREFIX = 10      # characters that the delete index looks at
+FILTER = 1 << 27  # bits of the filter by which keys of one side only are dropped
+
+
+def delete_keys(strings: DataFrame, col: str, max_dist: int, prefix: int) -> DataFrame:
+    """``strings`` with one row per key of ``col``, as ``key``: hashes of what is
+    left of its first ``prefix`` characters after deletions.  A cut string of
+    ``prefix`` characters loses exactly ``max_dist`` of them (two that share a
+    longer string share its shorter ones), a shorter one up to ``max_dist``."""
+    if prefix <= max_dist:
+        raise ValueError("the prefix must be longer than the distance")
+    level = f"array(named_struct('s', substring({col}, 1, {prefix}), 'i', 1))"
+    levels = [level]
+    for _ in range(max_dist):  # positions never fall, so no set of deletions comes twice
+        level = (f"flatten(transform({level}, v -> transform(IF(v.i > length(v.s), array(), sequence(v.i, length(v.s))), "
+                 "i -> named_struct('s', concat(substring(v.s, 1, i - 1), substring(v.s, i + 1)), 'i', i))))")
+        levels.append(level)
+    keys = f"IF(length({col}) >= {prefix}, {level}, concat({', '.join(levels)}))"
+    keyed = strings.select("*", explode_rows(F.expr(f"array_distinct(transform({keys}, v -> xxhash64(v.s)))"), "key"))
+    return keyed.filter(F.col("key").isNotNull())
+
+
+def _bit(key) -> Column:
+    return F.pmod(key, F.lit(FILTER)) + 1
+
+
+def _seen(keyed: DataFrame) -> DataFrame:
+    """Which keys occur, as at most FILTER / 32768 bitmaps of 4 KB (16 MB)."""
+    return keyed.groupBy(F.bitmap_bucket_number(_bit(F.col("key"))).alias("at")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(_bit(F.col("key")))).alias("bits"))
+
+
+def _known(keyed: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows whose key may occur in ``seen``: none that does is lost.  The
+    broadcast has a fixed size; the more keys there are, the less it drops."""
+    bit = F.bitmap_bit_position(_bit(F.col("key"))).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return (keyed.join(F.broadcast(seen), F.bitmap_bucket_number(_bit(F.col("key"))) == F.col("at"))
+            .filter(F.getbit(byte, F.pmod(bit, F.lit(8))) == 1).drop("at", "bits"))
+
+
+def close_pairs(left: DataFrame, right: DataFrame, max_dist: int, prefix: int = PREFIX) -> DataFrame:
+    """Rows of ``left`` (with string ``l``) and ``right`` (with string ``r``) within
+    ``max_dist`` edits, with ``distance``.  A pair appears once for every key
+    that its strings share; null strings pair with nothing.  Both sides are
+    read twice: first for the bitmaps of their keys."""
+    lk = delete_keys(left.filter(F.col("l").isNotNull()), "l", max_dist, prefix)
+    rk = delete_keys(right.filter(F.col("r").isNotNull()), "r", max_dist, prefix)
+    seen_l, seen_r = stored(_seen(lk), "keys-left"), stored(_seen(rk), "keys-right")
+    lk, rk = _known(lk, seen_r), _known(rk, seen_l)
+    met = lk.join(rk, (lk["key"] == rk["key"]) & (F.abs(F.length("l") - F.length("r")) <= max_dist)).drop("key")
+    return met.withColumn("distance", F.levenshtein("l", "r", max_dist)).filter("distance >= 0")
 
 
 def fuzzy_join(left: DataFrame, right: DataFrame, max_dist: int = 1, *, left_col: str = "name",
-               right_col: str = "name") -> DataFrame:
-    """all (left, right, distance) with ``levenshtein <= max_dist``.
-    Inputs are de-duplicated first; the join key is a shared delete variant."""
+               right_col: str = "name", prefix: int = PREFIX) -> DataFrame:
+    """all (left, right, distance) with ``levenshtein <= max_dist``.  Inputs
+    are de-duplicated first."""
     lv = left.select(F.col(left_col).alias("l")).distinct()
     rv = right.select(F.col(right_col).alias("r")).distinct()
-    lk = lv.select("l", explode_rows(delete_variants("l", max_dist), "k")).filter(F.col("k").isNotNull())
-    rk = rv.select("r", explode_rows(delete_variants("r", max_dist), "k")).filter(F.col("k").isNotNull())
-    cand = lk.join(rk, "k").select("l", "r").distinct()
-    d = F.levenshtein("l", "r", max_dist)
-    return cand.select("l", "r", d.alias("distance")).filter((F.col("distance") >= 0) & (F.col("distance") <= max_dist))
+    return close_pairs(lv, rv, max_dist, prefix).select("l", "r", "distance").distinct()
 
 
 def correct_spelling(counts: DataFrame, *, min_count: int = 5, max_dist: int = 2, word_col: str = "word",
-                     count_col: str = "n") -> DataFrame:
+                     count_col: str = "n", prefix: int = PREFIX) -> DataFrame:
     """Map each rare word (count < ``min_count``) to the frequent word
     within ``max_dist`` edits with the least distance, then the greatest
     count, then alphabetical; words without a candidate map to themselves.
     ``counts`` is the distinct vocabulary ``(word, n)``; returns ``(word,
-    corrected, distance)`` for every word."""
-    vocab = counts.select(F.col(word_col).alias("w"), F.col(count_col).alias("n"))
-    frequent = vocab.filter(F.col("n") >= min_count)
-    rare = vocab.filter(F.col("n") < min_count)
-    pairs = fuzzy_join(rare.select(F.col("w").alias("name")), frequent.select(F.col("w").alias("name")), max_dist)
-    pairs = pairs.join(frequent.select(F.col("w").alias("r"), F.col("n").alias("rn")), "r")
-    best = pairs.groupBy("l").agg(
-        F.min_by(F.struct("r", "distance"), F.struct(F.col("distance"), -F.col("rn"), F.col("r"))).alias("b"))
-    fixed = best.select(F.col("l").alias("w"), F.col("b.r").alias("corrected"), F.col("b.distance").cast("long").alias("distance"))
-    out = vocab.select("w").join(fixed, "w", "left")
-    return out.select(F.col("w").alias("word"), F.coalesce("corrected", "w").alias("corrected"),
-                      F.coalesce("distance", F.lit(0)).cast("long").alias("distance"))
+    corrected, distance)`` for every word.
+
+    Distances are tried in turn: a word that has a candidate at distance 1 is
+    settled, and only the others get the many keys of distance 2."""
+    vocab = stored(counts.select(F.col(word_col).alias("word"), F.col(count_col).alias("n")), "vocabulary")
+    frequent = vocab.filter(F.col("n") >= min_count).select(F.col("word").alias("r"), F.col("n").alias("rn"))
+    left = vocab.filter(F.col("n") < min_count).select(F.col("word").alias("l"))
+    kept = vocab.filter(F.col("n") >= min_count).select("word", F.col("word").alias("corrected"), F.lit(0).cast("long").alias("distance"))
+    for d in range(1, max_dist + 1):
+        best = close_pairs(left, frequent, d, prefix).groupBy("l").agg(
+            F.min_by(F.struct("r", "distance"), F.struct(F.col("distance"), -F.col("rn"), F.col("r"))).alias("b"))
+        best = stored(best.select("l", "b.r", F.col("b.distance").cast("long").alias("distance")), "corrections")
+        kept = kept.union(best)
+        left = left.join(best, "l", "left_anti")
+    return kept.union(left.select("l", "l", F.lit(0).cast("long")))

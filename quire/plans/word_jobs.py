@@ -37,6 +37,12 @@ def vocab(spark, sf) -> DataFrame:
     return N.vocabulary(en_tokens(spark, sf))
 
 
+def corpus_vocab(spark, sf) -> DataFrame:
+    """(word, n) over the documents of every language."""
+    d = spread(Tables(spark, sf).documents.select("doc_id", "text"), "doc_id")
+    return N.vocabulary(d.select("doc_id", alpha_lower(word_tokens("text")).alias("tokens")))
+
+
 def lexicon(spark, sf) -> DataFrame:
     """Valid words: seen at least ``LEX_MIN`` times in the English documents."""
     return vocab(spark, sf).filter(F.col("n") >= LEX_MIN).select("word")
@@ -426,7 +432,8 @@ def q_fuzzy_join(spark, sf):
     return FZ.fuzzy_join(names, names, 1).filter(F.col("l") < F.col("r")).withColumn("distance", F.col("distance").cast("long"))
 
 
-_ASCII_VOCAB = f"SELECT word, n FROM ({_VOCAB}) WHERE regexp_full_match(word, '[a-z]+')"
+_ASCII_VOCAB = (f"SELECT word, count(*) AS n FROM (SELECT unnest({_ALPHA}) AS word FROM documents) "
+                "WHERE regexp_full_match(word, '[a-z]+') GROUP BY word")
 
 
 @register("T16_correct_spelling", sql=f"""
@@ -439,12 +446,14 @@ SELECT v.word, coalesce(best.corrected, v.word) AS corrected, coalesce(best.dist
 FROM v LEFT JOIN best USING (word)
 """)
 def q_spelling(spark, sf):
-    v = vocab(spark, sf).filter(F.col("word").rlike("^[a-z]+$"))
+    """T16 over the words of a-z of all documents, beside its twin."""
+    v = corpus_vocab(spark, sf).filter(F.col("word").rlike("^[a-z]+$"))
     return FZ.correct_spelling(v, min_count=SPELL_MIN, max_dist=SPELL_DIST)
 
 
 @register("T16_correct_spelling_all")
 def q_spelling_all(spark, sf):
-    """T16 over the whole vocabulary.  No twin: DuckDB's ``levenshtein`` counts
-    bytes, so only the words of a-z (``T16_correct_spelling``) can be compared."""
-    return FZ.correct_spelling(vocab(spark, sf), min_count=SPELL_MIN, max_dist=SPELL_DIST)
+    """T16 over the whole vocabulary of all documents.  No twin: DuckDB's
+    ``levenshtein`` counts bytes, so only the words of a-z
+    (``T16_correct_spelling``) can be compared."""
+    return FZ.correct_spelling(corpus_vocab(spark, sf), min_count=SPELL_MIN, max_dist=SPELL_DIST)
