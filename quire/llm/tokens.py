@@ -2,9 +2,10 @@
 
 Byte-level BPE splits a text into pieces before merging, and a single space
 between two non-space characters always starts a piece.  Texts are therefore
-cut there, every distinct chunk of a batch is encoded once, and a bounded cache
-keeps the ids of chunks between batches; the ids are those of encoding the
-whole text.  Runs of white space stay inside one chunk.
+cut there and every distinct chunk of a slice of texts is looked up once, in a
+bounded cache that keeps the ids of chunks between slices; the ids are those of
+encoding the whole text, special-token strings included.  Runs of white space
+stay inside one chunk.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE = 1_000_000  # characters handled at once
-KEEP = 800_000     # cached chunks of a worker, about 250 MB
+KEEP = 400_000     # chunks in each of the cache's two halves, about 250 MB in all
 # the last three are white space to some Unicode versions only
 BLANK = r"\s\u180e\u200b\ufeff"
 CUT = re.compile(rf"(?<=[^{BLANK}]) (?=[^{BLANK}])")
@@ -24,21 +27,20 @@ EDGE = re.compile(rf"[{BLANK}]")
 
 class ChunkEncoder:
     """Encodes texts to little-endian id bytes of ``dtype`` (16 bits when the
-    vocabulary allows, else 32).  Special-token strings in a text are ordinary
-    text."""
+    vocabulary allows, else 32)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives one core to a task
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         size = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 65536 else "<u4")
         self.opens = np.zeros(size, bool)  # ids whose text starts with a space
         for piece, i in self.tok.get_vocab().items():
             self.opens[i] = piece.startswith("Ġ")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # chunks used since the last turn
+        self.older: dict[str, bytes] = {}  # and in the one before; the rest is dropped
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
@@ -56,23 +58,52 @@ class ChunkEncoder:
             for chunk, a, z in zip(group, at, at[1:] + [len(raw)], strict=True):
                 self.known[chunk] = raw[a:z]
 
+    def _chunk_ids(self, chunks: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """Ids of each of the distinct ``chunks`` after a space, and which ones
+        are empty or begin or end with white space (their ids are empty)."""
+        if len(self.known) > KEEP:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        odd = np.zeros(len(chunks), bool)
+        fresh = []
+        for i, chunk in enumerate(chunks):
+            if chunk not in known:
+                if chunk in older:
+                    known[chunk] = older[chunk]
+                elif not chunk or EDGE.match(chunk[0]) or EDGE.match(chunk[-1]):
+                    odd[i] = True
+                else:
+                    fresh.append(chunk)
+        self._learn(fresh)
+        return [known.get(chunk, b"") for chunk in chunks], odd
+
     def _slice(self, texts: list[tuple[str, bool]]) -> list[bytes]:
         """``texts``: (text, whether a space precedes it)."""
-        split = [t.split(" ") for t, _ in texts]
-        fresh = set().union(*split).difference(self.known)
-        odd = {c for c in fresh if not c or EDGE.match(c[0]) or EDGE.match(c[-1])}
-        self._learn(sorted(fresh - odd))
-        out = []
-        for (text, led), chunks in zip(texts, split):
-            if odd and not odd.isdisjoint(chunks):
-                first, *rest = CUT.split(text)
-                body = self._plain([" " + first if led else first, *(" " + c for c in rest)])
-                out.append(b"".join(body))
-            else:
-                head = self.known[chunks[0]] if led else self._plain([chunks[0]])[0]
-                out.append(head + b"".join(map(self.known.__getitem__, chunks[1:])))
-        if len(self.known) > KEEP:
-            self.known.clear()
+        split = pc.split_pattern(pa.array([t for t, _ in texts], pa.large_string()), " ")
+        ends = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        chunks = coded.dictionary.to_pylist()
+        raw, odd = self._chunk_ids(chunks)
+        slow = np.logical_or.reduceat(odd[at], ends[:-1])
+        # a text's first chunk has no space before it: entries of their own
+        first = [i for i, (_, led) in enumerate(texts) if not led and not slow[i]]
+        opening = at[ends[first]]
+        at[ends[first]] = len(raw) + np.arange(len(first))
+        raw += self._plain([chunks[i] for i in opening])
+        # copy every chunk's ids to its places
+        sizes = np.array([len(r) for r in raw], np.int64) // self.dtype.itemsize
+        ids = np.frombuffer(b"".join(raw), self.dtype)
+        size = sizes[at]
+        stop = np.cumsum(size)
+        start = (np.cumsum(sizes) - sizes)[at] - (stop - size)
+        ids = ids[np.repeat(start, size) + np.arange(stop[-1] if len(stop) else 0)]
+        bounds = np.concatenate([[0], stop])[ends].tolist()
+        out = [ids[a:z].tobytes() for a, z in zip(bounds, bounds[1:])]
+        for i in np.flatnonzero(slow).tolist():
+            text, led = texts[i]
+            head, *rest = CUT.split(text)
+            out[i] = b"".join(self._plain([" " + head if led else head, *(" " + c for c in rest)]))
         return out
 
     def encode(self, texts: list) -> list[bytes]:

@@ -15,14 +15,13 @@ PATH = P.path("byte_bpe_50k.json")
 
 def plain(texts):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
 def odd_texts(seed=1):
     rnd = random.Random(seed)
     bits = ["the", "ciónllas.", "it's", "we'll", "x\ny", "\n", " ", "  ", "\t", "3rd", "12,5", " ", "​", "᠎", "é",
-            "日本語", "👍🏽", "<|endoftext|>", "\x1c", "\x85", " ", "á", "'s", "!!", "\r\n", "", "﻿", "\x00"]
+            "日本語", "👍🏽", "<|endoftext|>", "x<|endoftext|>y", "<|endoftext|> ", "\x1c", "\x85", " ", "á", "'s", "!!", "\r\n", "", "﻿", "\x00"]
     texts = [" ".join(rnd.choice(bits) for _ in range(rnd.randint(0, 30))) for _ in range(400)]
     texts += ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 30))) for _ in range(200)]
     return texts + [None, "", " ", "  ", " a", "a ", "a  b", "\n a", "a \n b", "x" * 3000, "w " * 5000]
