@@ -43,8 +43,8 @@ def scaled(vec, scale: float) -> np.ndarray | None:
 
 
 def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
-    """(vec_id, dim, norm, v) rows with the vector as float64 bytes;
-    exact, since the floors are whole doubles."""
+    """(vec_id, dim, norm, v, row) with the vector as float64 bytes; exact,
+    since the floors are whole doubles.  ``row`` keeps equal rows apart."""
     def run(batches):
         for b in batches:
             ids, col = b.column(0), b.column(1)
@@ -62,7 +62,7 @@ def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: float)
                  pa.array(norms, pa.float64()), pa.array(raw, pa.binary())], ["vec_id", "dim", "norm", "v"])
 
     return vectors.select(F.col(id_col).cast("long"), vec_col).mapInArrow(
-        run, "vec_id long, dim int, norm double, v binary").distinct()
+        run, "vec_id long, dim int, norm double, v binary").withColumn("row", F.monotonically_increasing_id())
 
 
 def matrix(raw: list[bytes], dim: int) -> np.ndarray:
@@ -156,18 +156,23 @@ def top_k_products(vectors: DataFrame, k: int = 20, every: int = 20, scale: floa
     Queries are the rows whose id is divisible by ``every``; candidates are all
     rows but those with the query's id.  Vectors that are null, hold null or a
     non-finite component (also after scaling), or have a null id take no part.
-    Rows equal in id and vector count once; rows that repeat an id with another
-    vector are queries and candidates of their own.  Only vectors of one length
+    Every row is a candidate, repeated ones too; rows equal in id and vector ask
+    once, rows that repeat an id with another vector are queries of their own,
+    and no row answers a query with its id.  Only vectors of one length
     are compared.  Fewer candidates than k give all of them; an empty table
     gives an empty table."""
     bucket = F.when(F.col("norm") > 0, F.floor(F.log("norm") / F.lit(math.log(ratio)))).otherwise(-10_000).cast("int")
     data = written(integer_vectors(vectors, id_col, vec_col, scale).withColumn("bucket", bucket), "vectors")
-    queries = data.filter(F.pmod("vec_id", F.lit(every)) == 0)
-
-    # seeds: the longest vectors of each dimension, at most ``seeds`` rows each
-    longest = Window.partitionBy("dim").orderBy(F.col("norm").desc(), "vec_id", "v")
-    seed = (data.select("dim", "norm", "vec_id", "v").withColumn("r", F.row_number().over(longest))
-            .filter(F.col("r") <= seeds).groupBy("dim")
+    queries = data.filter(F.pmod("vec_id", F.lit(every)) == 0).select("vec_id", "dim", "norm", "v").distinct()
+
+    # seeds: the longest vectors of each dimension, at most ``seeds`` rows each;
+    # first those of each of a few parts, so that no task sorts all vectors
+    order = [F.col("norm").desc(), F.col("vec_id"), F.col("v"), F.col("row")]
+    longest = data.select("dim", "norm", "vec_id", "v", "row", F.pmod(F.xxhash64("row"), F.lit(4 * SALT)).alias("share"))
+    for keys in (["dim", "share"], ["dim"]):
+        longest = (longest.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+                   .filter(F.col("r") <= seeds))
+    seed = (longest.groupBy("dim")
             .agg(F.collect_list("vec_id").alias("ids"), F.collect_list("v").alias("vs"), F.collect_list("norm").alias("norms"))
             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))))  # at most ``seeds`` vectors a copy
     # one row per dimension, or per dimension and bucket (the doubles' range has
@@ -208,7 +213,7 @@ def top_k_products(vectors: DataFrame, k: int = 20, every: int = 20, scale: floa
     sizes = written(data.groupBy("dim", "bucket").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "parts", F.ceil(F.col("n") / F.lit(float(block))).cast("int")), "sizes")
     v_blocks = (data.join(F.broadcast(sizes), ["dim", "bucket"])
-                .withColumn("part", F.expr("CAST(pmod(xxhash64(vec_id, v), parts) AS INT)"))
+                .withColumn("part", F.expr("CAST(pmod(xxhash64(row), parts) AS INT)"))
                 .groupBy("dim", "bucket", "part").agg(
                     F.collect_list("vec_id").alias("ids"), F.collect_list("v").alias("vs"),
                     F.collect_list("norm").alias("norms")))

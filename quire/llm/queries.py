@@ -160,10 +160,10 @@ WITH v AS (
   SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+  SELECT q.vec_id AS query_id, q.e, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM (SELECT DISTINCT * FROM v WHERE vec_id % 20 = 0) q JOIN v c ON q.vec_id <> c.vec_id),
 ranked AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored)
+  SELECT query_id, row_number() OVER (PARTITION BY query_id, e ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 

@@ -9,12 +9,12 @@ from quire.llm.normsearch import Block, top_k_products
 
 def brute(rows, k=20, every=20):
     ok = []
-    for i, e in dict.fromkeys((i, None if e is None else tuple(e)) for i, e in rows):
+    for i, e in ((i, None if e is None else tuple(e)) for i, e in rows):
         if i is None or e is None or any(x is None or not math.isfinite(np.float32(x)) for x in e):
             continue
         ok.append((i, [math.floor(64 * float(np.float32(x))) for x in e]))
     out = []
-    for qi, q in ok:
+    for qi, q in dict.fromkeys((i, tuple(v)) for i, v in ok):
         if qi % every:
             continue
         s = sorted((-min(max(sum(a * b for a, b in zip(q, c)), -2**63), 2**63 - 1), ci)
@@ -44,6 +44,7 @@ def test_matches_brute_force(spark, kw):
     same = [(1000 + i, data[5][1]) for i in range(40)]
     odd = [(2000, None), (2020, [None] * 8), (2040, [float("nan")] * 8), (2060, [float("inf")] * 8), (None, [1.0] * 8),
            (2080, [1.0, 2.0]), (2081, [3.0, 4.0]), (2100, []), (2101, []), (20, data[20][1]), (40, data[41][1]),
+           (7, data[7][1]), (7, data[7][1]), (7, data[8][1]), (1003, data[5][1]),
            (2120, [0.0] * 8), (2140, [1e30] * 8), (2160, [-1e30] * 8)]
     assert run(spark, data + same + odd, **kw) == brute(data + same + odd)
 
