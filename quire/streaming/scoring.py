@@ -24,6 +24,15 @@ def document_stream(spark: SparkSession, folder: str, *, file_glob: str = "docum
             .option("maxFilesPerTrigger", max_files).parquet(folder))
 
 
+def table_stream(spark: SparkSession, path: str, *, bytes_per_batch: int = 1 << 30) -> DataFrame:
+    """The files of one Parquet table (a folder or a single file, with its own
+    schema) as a stream; its last character is written as a pattern, which
+    matches either."""
+    path = path.rstrip("/")
+    return (spark.readStream.schema(spark.read.parquet(path).schema)
+            .option("maxBytesPerTrigger", str(bytes_per_batch)).parquet(f"{path[:-1]}[{path[-1]}]"))
+
+
 def score_stream(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str,
                  *, available_now: bool = True):
     """Run ``scorer`` on every micro-batch and append to ``out_path``.  A
