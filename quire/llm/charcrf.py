@@ -23,6 +23,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -307,38 +308,39 @@ def gold_tags(n: int, spans: dict[str, list[tuple[int, int]]]) -> np.ndarray:
     return tags
 
 
-def training_windows(texts: list, most: int) -> tuple[np.ndarray, np.ndarray]:
-    xs, ys = [], []
-    held = 0
-    for text in texts:
-        starts = windows_near(text or "")
-        if starts and held < most:
-            xs.append(window_matrix(char_classes(text), starts))
-            ys.append(window_matrix(gold_tags(len(text), base_spans(text)), starts))  # PAD is tag O
-            held += len(starts)
-    if not xs:
-        return np.empty((0, WINDOW), np.int64), np.empty((0, WINDOW), np.int64)
-    return np.concatenate(xs)[:most].astype(np.int64), np.concatenate(ys)[:most].astype(np.int64)
-
-
-def train_tagger(docs: DataFrame, limit: int = 600, most_windows: int = 1_500) -> Tagger | None:
-    """Train on at most ``most_windows`` windows of at most ``limit`` documents
-    that hold a digit or an ``@``, chosen by a hash; None when there are none.
-    The sample's windows, not its texts, reach the driver."""
+def training_windows(text: str, most: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """(characters, tags, keys) of at most ``most`` windows of the whole text: those
+    with the smallest hash of text and position, which is their key."""
+    starts = windows_near(text)
+    seed = xxhash.xxh64_intdigest(text)
+    chosen = sorted((xxhash.xxh64_intdigest(start.to_bytes(8, "little"), seed) >> 1, start) for start in starts)[:most]
+    if not chosen:
+        return np.empty((0, WINDOW), np.int64), np.empty((0, WINDOW), np.int64), []
+    at = [start for _, start in chosen]
+    return (window_matrix(char_classes(text), at).astype(np.int64),
+            window_matrix(gold_tags(len(text), base_spans(text)), at).astype(np.int64),  # PAD is tag O
+            [key for key, _ in chosen])
+
+
+def train_tagger(docs: DataFrame, limit: int = 600, most_windows: int = 1_500, windows_per_text: int = 8) -> Tagger | None:
+    """Train on at most ``most_windows`` windows, at most ``windows_per_text`` of
+    each of at most ``limit`` documents that hold a digit or an ``@``; documents
+    and windows (from anywhere in a text) are chosen by hashes.  None when there
+    are none.  The sample's windows, not its texts, reach the driver."""
     def cut(batches):
         for b in batches:
             for i in range(b.num_rows):
-                x, y = training_windows([b.column(0)[i].as_py()], 8)
+                x, y, keys = training_windows(b.column(0)[i].as_py(), windows_per_text)
                 if len(x):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r.astype(np.int8).tobytes() for r in x]), pa.array([r.astype(np.int8).tobytes() for r in y])],
-                        ["x", "y"])
+                        [pa.array([r.astype(np.int8).tobytes() for r in x]), pa.array([r.astype(np.int8).tobytes() for r in y]),
+                         pa.array(keys, pa.int64())], ["x", "y", "key"])
 
     hashed = docs.select("text", F.xxhash64("text").alias("h")).filter(F.col("text").rlike("[0-9@]"))
     # hashes alone are sorted; the ``limit`` chosen ones are a bounded broadcast
     chosen = hashed.select("h").distinct().orderBy("h").limit(limit)
     sample = hashed.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.first("text").alias("text")).select("text")
-    got = sample.mapInArrow(cut, "x binary, y binary").orderBy("x", "y").limit(most_windows).collect()
+    got = sample.mapInArrow(cut, "x binary, y binary, key long").orderBy("key", "x", "y").limit(most_windows).collect()
     if not got:
         return None
     x, y = (np.array([np.frombuffer(r[k], np.int8) for r in got]).astype(np.int64) for k in ("x", "y"))

@@ -8,9 +8,10 @@ of a sequence are packed hierarchically:
   fullest bin that still takes it.  Bins with at most ``slack`` tokens free are
   final and leave.
 * *Tree merge.*  Underfull bins become items of the next round: they are dealt
-  to fewer tasks of at most ``fan_in`` bins and packed again, bin into bin.
-  Rounds go on until one bounded task holds the rest or a round saves less than
-  one bin in a hundred.
+  to fewer tasks of at most ``fan_in`` bins, to other ones in each round, and
+  packed again, bin into bin.  Rounds go on until one bounded task holds the
+  rest, or a round saves less than one bin for each of its tasks: two or more
+  lists of ``fan_in`` bins that best fit cannot shorten.
 
 A bin never has more members than tokens, so its members travel inside it.
 """
@@ -126,7 +127,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
     slim = spread_scan(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
     level = written(pieces_packed_locally(slim, vocabulary, end_id, capacity, slack, fan_in), "bins")
     final, waiting = [level.filter("done")], level.filter("NOT done")
-    n = waiting.count()
+    n, deal = waiting.count(), 0
     while n:
         tasks = -(-n // fan_in)
 
@@ -139,13 +140,13 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
                 bins += [(f, flat[x - at[0]:z - at[0]]) for f, x, z in zip(fills, at, at[1:])]
             yield from pack_bins(bins, capacity, slack, last)
 
-        dealt = waiting.select("fill", "members", F.xxhash64(F.col("members")[0]).alias("k"))
+        dealt = waiting.select("fill", "members", F.xxhash64(F.col("members")[0], F.lit(deal)).alias("k"))
         level = written(dealt.repartition(tasks, "k").select("fill", "members").mapInArrow(run, BIN), "bins")
         final.append(level.filter("done"))
         waiting = level.filter("NOT done")
         left, before = waiting.count(), n
-        n = left
-        if n and level.count() > 0.99 * before:
+        n, deal = left, deal + 1
+        if n and before - level.count() < tasks:
             final.append(waiting)
             break
     packed = final[0]

@@ -126,5 +126,18 @@ def test_empty_and_nothing_to_learn(spark):
 def test_redaction_merges_overlaps():
     t = "call +1 (486) 555-3667 or a@b.c."
     assert redacted(t, base_spans(t)) == "call <PHONE> or <EMAIL>."
-    x, y = training_windows([t], 10)
+    x, y, _ = training_windows(t, 10)
     assert x.shape == y.shape and (char_classes(t)[:10] == x[0][:10]).all()
+
+
+def test_training_windows_come_from_the_whole_text():
+    rnd = random.Random(2)
+    t = "; ".join("".join(rnd.choice("abcXYZ .,-;") for _ in range(90)) + f" {rnd.randrange(10**6)}" for _ in range(200))
+    x, y, keys = training_windows(t, 8)
+    everything = training_windows(t, 10**6)
+    at = windows_near(t)
+    assert len(x) == len(y) == len(keys) == 8 and keys == sorted(everything[2])[:8] and len(everything[2]) == len(at)
+    classes = char_classes(t)
+    place = {classes[a:a + x.shape[1]].tobytes(): i for i, a in enumerate(at)}
+    found = [place[r.astype(classes.dtype).tobytes()] for r in x]
+    assert max(found) >= 8 and training_windows("no mark", 8)[2] == []
