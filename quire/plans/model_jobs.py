@@ -256,14 +256,43 @@ def _binary(spark, sf) -> DataFrame:
     return emb(spark, sf).withColumn("y", (F.col("label") == 0).cast("int")).select("vec_id", "embedding", "y")
 
 
-@register("L13_smote")
+_OVERSAMPLE = """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label = 0 AS minor FROM embeddings),
+c AS (SELECT count(*) FILTER (minor) AS n_min, count(*) FILTER (NOT minor) AS n_maj FROM e),
+near(id, nid, rank, maj) AS (
+  SELECT a.vec_id, b.vec_id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id), NOT b.minor
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.minor{among}),
+nn AS (SELECT * FROM near WHERE rank <= 5),"""
+_MINOR_NN = """
+own(id, nid, rank) AS (
+  SELECT a.vec_id, b.vec_id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id)
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.minor AND b.minor),"""
+_INTERPOLATED = """
+k AS (SELECT id, count(*) AS kk FROM {nn} WHERE rank <= 5 GROUP BY id),
+jobs AS (SELECT id, kk, unnest(range(0, cnt)) AS j FROM given JOIN k USING (id)),
+placed AS (
+  SELECT id, j, a.v AS x, b.v AS y, ((id * 7919 + j * 104729) % 1000003)::DOUBLE / 1000003.0 AS u
+  FROM jobs JOIN {nn} nb USING (id) JOIN e a ON a.vec_id = id JOIN e b ON b.vec_id = nid WHERE nb.rank = j % kk + 1)
+SELECT id AS base_id, j::BIGINT AS j, [p[1] + u * (p[2] - p[1]) for p in list_zip(x, y)] AS embedding FROM placed
+"""
+
+
+@register("L13_smote", sql=_OVERSAMPLE.format(among=" AND b.minor") + """
+g AS (SELECT n_min, greatest(n_maj - n_min, 0) AS total FROM c),
+given AS (
+  SELECT vec_id AS id, total // n_min + (row_number() OVER (ORDER BY vec_id) - 1 < total % n_min)::INTEGER AS cnt
+  FROM e, g WHERE minor),""" + _INTERPOLATED.format(nn="nn"))
 def q_smote(spark, sf):
     from ..operators.knn import smote
 
     return smote(_binary(spark, sf), k=5).select("base_id", "j", "embedding")
 
 
-@register("L14_adasyn")
+@register("L14_adasyn", sql=_OVERSAMPLE.format(among="") + _MINOR_NN + """
+ratio AS (SELECT id, avg(maj::INTEGER::DOUBLE) AS ri FROM nn GROUP BY id),
+given AS (
+  SELECT id, CASE WHEN sr > 0 THEN round(ri / sr * greatest(n_maj - n_min, 0))::BIGINT ELSE 0 END AS cnt
+  FROM ratio, (SELECT sum(ri) AS sr FROM ratio), c),""" + _INTERPOLATED.format(nn="own"))
 def q_adasyn(spark, sf):
     from ..operators.knn import adasyn
 
