@@ -125,8 +125,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
 
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
-            for s in range(0, len(ids), 256):
-                for name, raw in zip(ids[s:s + 256], enc.encode(texts[s:s + 256].to_pylist())):
+            for s in range(0, len(ids), 1024):
+                for name, raw in zip(ids[s:s + 1024], enc.encode(texts[s:s + 1024].to_pylist())):
                     raw += end
                     size = len(raw) // enc.dtype.itemsize
                     if raws and (len(raws) >= max_docs or held + size > max_ids):

@@ -97,9 +97,9 @@ def pieces_packed_locally(docs: DataFrame, vocabulary: str, end_id: int, capacit
         open_bins: list[tuple] = []
         for b in batches:
             names, texts = b.column(0).to_pylist(), b.column(1)
-            for s in range(0, len(names), 256):
+            for s in range(0, len(names), 1024):
                 full = []
-                for name, raw in zip(names[s:s + 256], enc.encode(texts[s:s + 256].to_pylist())):
+                for name, raw in zip(names[s:s + 1024], enc.encode(texts[s:s + 1024].to_pylist())):
                     ids = np.concatenate([np.frombuffer(raw, enc.dtype).astype("<u4"), end])
                     view, at = memoryview(ids.tobytes()), 0
                     for k, n in enumerate(cut(len(ids), capacity)):

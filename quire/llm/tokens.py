@@ -17,12 +17,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1_000_000  # characters handled at once
+SLICE = 2_000_000  # characters handled at once
 KEEP = 400_000     # chunks in each of the cache's two halves, about 250 MB in all
 # the last three are white space to some Unicode versions only
 BLANK = r"\s\u180e\u200b\ufeff"
 CUT = re.compile(rf"(?<=[^{BLANK}]) (?=[^{BLANK}])")
-EDGE = re.compile(rf"[{BLANK}]")
+
+
+def blank(c: str) -> bool:
+    return c.isspace() or c in "\u180e\u200b\ufeff"
 
 
 class ChunkEncoder:
@@ -65,17 +68,23 @@ class ChunkEncoder:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         odd = np.zeros(len(chunks), bool)
-        fresh = []
+        found: list[bytes] = []
+        fresh: list[int] = []
         for i, chunk in enumerate(chunks):
-            if chunk not in known:
-                if chunk in older:
-                    known[chunk] = older[chunk]
-                elif not chunk or EDGE.match(chunk[0]) or EDGE.match(chunk[-1]):
-                    odd[i] = True
+            ids = known.get(chunk)
+            if ids is None:
+                ids = older.get(chunk)
+                if ids is not None:
+                    known[chunk] = ids
+                elif not chunk or blank(chunk[0]) or blank(chunk[-1]):
+                    odd[i], ids = True, b""
                 else:
-                    fresh.append(chunk)
-        self._learn(fresh)
-        return [known.get(chunk, b"") for chunk in chunks], odd
+                    fresh.append(i)
+            found.append(ids)
+        self._learn([chunks[i] for i in fresh])
+        for i in fresh:
+            found[i] = known[chunks[i]]
+        return found, odd
 
     def _slice(self, texts: list[tuple[str, bool]]) -> list[bytes]:
         """``texts``: (text, whether a space precedes it)."""
@@ -91,15 +100,11 @@ class ChunkEncoder:
         opening = at[ends[first]]
         at[ends[first]] = len(raw) + np.arange(len(first))
         raw += self._plain([chunks[i] for i in opening])
-        # copy every chunk's ids to its places
-        sizes = np.array([len(r) for r in raw], np.int64) // self.dtype.itemsize
-        ids = np.frombuffer(b"".join(raw), self.dtype)
-        size = sizes[at]
-        stop = np.cumsum(size)
-        start = (np.cumsum(sizes) - sizes)[at] - (stop - size)
-        ids = ids[np.repeat(start, size) + np.arange(stop[-1] if len(stop) else 0)]
-        bounds = np.concatenate([[0], stop])[ends].tolist()
-        out = [ids[a:z].tobytes() for a, z in zip(bounds, bounds[1:])]
+        # the ids of all chunks in their places, one after the other
+        placed = pa.array(raw, pa.large_binary()).take(pa.array(at))
+        bounds = np.frombuffer(placed.buffers()[1], np.int64)[ends].tolist()
+        ids = memoryview(placed.buffers()[2] or b"")
+        out = [bytes(ids[a:z]) for a, z in zip(bounds, bounds[1:])]
         for i in np.flatnonzero(slow).tolist():
             text, led = texts[i]
             head, *rest = CUT.split(text)
