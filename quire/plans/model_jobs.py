@@ -17,7 +17,7 @@ from ..operators import sentiment as W
 from ..operators import topics as M
 from ..operators import vectors as X
 from ..sources.files import corpus_path
-from ..streaming.scoring import document_stream, score_stream
+from ..streaming.scoring import score_stream, table_stream
 from . import sentiment_jobs as SJ
 from .registry import Tables, register
 
@@ -244,7 +244,7 @@ def q_stream(spark, sf):
 
     run = uuid.uuid4().hex[:8]
     out = corpus_path(spark, f"stream_scores_{run}")
-    q = score_stream(document_stream(spark, sf), scorer, out, corpus_path(spark, f"stream_ckpt_{run}"))
+    q = score_stream(table_stream(spark, f"{sf.rstrip('/')}/documents.parquet"), scorer, out, corpus_path(spark, f"stream_ckpt_{run}"))
     q.awaitTermination()
     return spark.read.parquet(out).select("doc_id", "score", "label")
 

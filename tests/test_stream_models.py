@@ -69,3 +69,16 @@ def test_stream_scores_with_the_stored_model_and_resumes(spark, tmp_path):
     later = run()
     assert {i: x for i, x in later.items() if i not in range(160, 170)} == first
     assert {later[i][2] for i in range(160, 170)} == {2}
+
+
+def test_lexicon_scores_of_a_table_in_several_files(spark, tmp_path):
+    """The table is a folder of files with any names."""
+    from quire.plans.model_jobs import q_stream
+
+    rows = [(i, text, lang, "web", len(text)) for i, text, lang in documents(0, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, i % 2, 0) for i in range(40)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    scored = q_stream(spark, str(tmp_path))
+    assert sorted(r.doc_id for r in scored.collect()) == list(range(40))
