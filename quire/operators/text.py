@@ -293,6 +293,19 @@ def ngrams_col(tokens, n: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(t, i + 1, n), " "))
 
 
-def ngrams(df: DataFrame, lo: int = 1, hi: int = 3, *, col: str = "tokens", out: str = "grams") -> DataFrame:
-    """All n-grams for n in [lo, hi], in order of n then position."""
-    return df.withColumn(out, F.flatten(F.array(*[ngrams_col(col, n) for n in range(lo, hi + 1)])))
+def _whole_ngrams(tokens, n: int) -> Column:
+    """n-grams by position; null where a token is null."""
+    t = c(tokens)
+    starts = F.when(F.size(t) >= n, F.sequence(F.lit(0), F.size(t) - n)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.concat(F.get(t, i), *[x for j in range(1, n) for x in (F.lit(" "), F.get(t, i + j))]))
+
+
+def ngrams(df: DataFrame, lo: int = 1, hi: int = 3, *, col: str = "tokens", out: str = "grams",
+           words: list[str] | None = None) -> DataFrame:
+    """All n-grams for n in [lo, hi], in order of n then position.  With
+    ``words``, only those made of these words."""
+    if words is None:
+        return df.withColumn(out, F.flatten(F.array(*[ngrams_col(col, n) for n in range(lo, hi + 1)])))
+    d = df.withColumn("_known", F.transform(c(col), lambda t: F.when(t.isin(words), t)))
+    grams = F.flatten(F.array(*[_whole_ngrams("_known", n) for n in range(lo, hi + 1)]))
+    return d.withColumn(out, F.filter(grams, lambda g: g.isNotNull())).drop("_known")
