@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.partitioning import spread
+from ..functions.partitioning import by_key
 from ..functions.text import alpha_lower, word_tokens
 from ..operators import topics as M
 from ..operators import vectors as X
@@ -21,7 +21,7 @@ _ALPHA = S.alpha_lower(S.word_tokens("text"))
 
 
 def tokens(spark, sf) -> DataFrame:
-    d = spread(Tables(spark, sf).documents.select("doc_id", "text", "lang", "source"), "doc_id")
+    d = by_key(Tables(spark, sf).documents.select("doc_id", "text", "lang", "source"), "doc_id")
     return d.select("doc_id", "lang", "source", alpha_lower(word_tokens("text")).alias("tokens"))
 
 
