@@ -9,11 +9,15 @@ multiplicative-update NMF with distributed factors.
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import explode_rows, stable_round
 
+GRAM_ROWS = 256  # dense rows held at once by a task
+
 
 # --------------------------------------------------------------- reports
 
@@ -256,7 +260,8 @@ def sweep(fit_fn, score_fn, ks) -> list[tuple[int, str, float]]:
 def lsi(vectors: DataFrame, k: int, *, features: str = "features", id_col: str = "doc_id"):
     """M4: truncated SVD of the document-term matrix X (documents x V).
 
-    One pass sums the per-partition Gram matrices X_p'X_p (``treeReduce``:
+    One pass sums the per-partition Gram matrices X_p'X_p, each from
+    ``GRAM_ROWS`` dense rows at a time (``treeReduce``:
     partial sums combine on executors, the result is V x V -- the model
     size, independent of the number of documents); its top-k eigenvectors
     are the right singular vectors, singular values are the square roots of
@@ -271,11 +276,11 @@ def lsi(vectors: DataFrame, k: int, *, features: str = "features", id_col: str =
     rows = vectors.select(id_col, features).rdd
 
     def part_gram(it):
-        block = [r[1].toArray() for r in it]
-        if not block:
-            return []
-        a = np.vstack(block)
-        return [a.T @ a]
+        gram = None
+        while block := [r[1].toArray() for r in islice(it, GRAM_ROWS)]:
+            a = np.vstack(block)
+            gram = a.T @ a if gram is None else gram + a.T @ a
+        return [] if gram is None else [gram]
 
     gram = rows.mapPartitions(part_gram).treeReduce(lambda x, y: x + y)
     vals, vecs = np.linalg.eigh(gram)

@@ -9,13 +9,14 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.partitioning import spread
+from ..functions.partitioning import by_key, spread
 from ..functions.text import alpha_lower, word_tokens
 from ..operators import cluster as C
 from ..operators import learn as L
 from ..operators import sentiment as W
 from ..operators import topics as M
 from ..operators import vectors as X
+from ..session import stored
 from ..sources.files import corpus_path
 from ..streaming.scoring import score_stream, table_stream
 from . import sentiment_jobs as SJ
@@ -147,12 +148,13 @@ def q_perplexity(spark, sf):
 
 def tfidf_vectors(spark, sf, n_terms: int = 2000):
     """Plain TF-IDF (L2 then L1) of the top terms as dense vectors."""
-    d = spread(Tables(spark, sf).documents.select("doc_id", "text"), "doc_id")
+    d = by_key(Tables(spark, sf).documents.select("doc_id", "text"), "doc_id")
     t = d.select("doc_id", alpha_lower(word_tokens("text")).alias("tokens"))
-    cv = X.count_vectors(t, n_terms)
-    w = X.normalize(X.normalize(X.tfidf(cv.drop("term_id"), X.count_docs(t), variant="plain"), "l2"), "l1")
-    w = w.join(cv.select("term", "term_id").distinct(), "term")
-    return w, cv.select("term", "term_id").distinct()
+    vocab = stored(X.top_terms(t, n_terms).select("term", "term_id"), "top-terms")  # n_terms rows
+    cv = X.count_vectors(t, n_terms, vocab=vocab)
+    dfs = stored(X.term_stats_from_bow(cv), "top-terms-df")  # n_terms rows
+    w = X.normalize(X.normalize(X.tfidf(cv.join(F.broadcast(dfs), "term"), X.count_docs(t), variant="plain"), "l2"), "l1")
+    return w.join(F.broadcast(vocab), "term"), vocab
 
 
 @register("M4_lsi_concepts")
