@@ -12,12 +12,16 @@ Exact kNN with a random-projection tree:
    distinct vector keeps only its k+1 smallest ids, found in two bounded
    steps.  Distinct vectors are routed to their leaves.
 3. Within each leaf (bounded size) distances are computed with numpy in
-   ``applyInPandas``: the k best candidates and their k-th distance r.
+   a cogroup: the k best candidates and their k-th distance r.
 4. Certification: a neighbour outside the leaf lies beyond at least one
    splitting hyperplane on the path, so it is at least the margin |u.q - t|
    away.  A query whose r exceeds a margin is sent to every leaf the ball of
-   radius r reaches (tree descent), joined with those leaves' points on the
-   leaf id, and the candidates are re-ranked.  The result equals brute force.
+   radius r reaches (tree descent), joined with those leaves' points by groups
+   of neighbouring leaves and slices of queries, and the candidates are
+   re-ranked.  The result equals brute force.
+
+A task holds one group's points, one slice of queries and a matrix of ``STEP``
+queries x points, however many queries reach a leaf.
 """
 
 from __future__ import annotations
@@ -30,6 +34,12 @@ from pyspark.sql import functions as F
 from ..functions.vectors import as_double
 
 
+GROUP_LEAVES = 32  # neighbouring leaves that a second search reads together
+SLICE = 4096       # queries in a task's group, about
+STEP = 256         # queries compared at once
+PIECE = 1 << 15    # pairs whose exact distance is computed at once
+
+
 def _build_tree(sample: np.ndarray, leaf_sample: int, seed: int, max_depth: int = 40):
     rng = np.random.default_rng(seed)
     dirs, thr, left, right, leaf = [], [], [], [], []
@@ -76,20 +86,53 @@ def _route(X, tree):
         node[i] = np.where(go_left, L[node[i]], R[node[i]])
 
 
-def _ball_leaves(q, r, tree):
+def _ball_leaves(X, r, tree):
+    """Per query, which leaves (in tree order) its ball of radius ``r`` reaches:
+    one step down the tree for all queries of a batch at once."""
     D, T, L, R, LF = tree
-    out, stack = [], [0]
-    while stack:
-        n = stack.pop()
+    number = np.cumsum(LF >= 0) - 1
+    reach = {0: np.arange(len(X))}  # node -> queries whose ball touches it
+    hit = np.zeros((len(X), int(number[-1]) + 1), dtype=bool)
+    for n in range(len(T)):  # parents come before their children
+        at = reach.pop(n)
         if LF[n] >= 0:
-            out.append(n)
+            hit[at, number[n]] = True
             continue
-        p = float(q @ D[n]) - T[n]
-        if p <= 0 or p - r <= 0:  # ball touches the left side (proj <= t)
-            stack.append(L[n])
-        if p > 0 or -p < r:  # ball touches the right side
-            stack.append(R[n])
-    return out
+        p = np.einsum("nd,d->n", X[at], D[n]) - T[n]
+        reach[L[n]] = at[(p <= 0) | (p - r[at] <= 0)]  # ball touches the left side (proj <= t)
+        reach[R[n]] = at[(p > 0) | (-p < r[at])]  # ball touches the right side
+    return hit
+
+
+def _nearest(Q, qh, P, ph, k):
+    """``(query index, point index, distance)`` of each query's ``k`` nearest
+    points, ties by id, itself left out.  ``STEP`` queries at a time: a matrix
+    product finds who may be among the k (with room for its rounding), exact
+    differences decide.  Memory is bounded by ``STEP`` x points."""
+    order, out = np.argsort(ph, kind="stable"), []
+    P, ids = P[order], ph[order]
+    pp = np.einsum("nd,nd->n", P, P)
+    top = np.nanmax(np.where(np.isfinite(pp), pp, 0.0), initial=0.0)
+    for lo in range(0, len(Q), STEP):
+        q, h = Q[lo:lo + STEP], qh[lo:lo + STEP]
+        qq = np.einsum("nd,nd->n", q, q)
+        with np.errstate(invalid="ignore", over="ignore"):
+            near = qq[:, None] + pp[None, :] - 2.0 * (q @ P.T)
+        near[np.isnan(near)] = np.inf
+        own = np.minimum(np.searchsorted(ids, h), len(ids) - 1)
+        mine = np.flatnonzero(ids[own] == h)
+        near[mine, own[mine]] = np.nan  # a vector is not its own neighbour
+        kth = np.partition(near, min(k, near.shape[1]) - 1, axis=1)[:, min(k, near.shape[1]) - 1]
+        room = 1e-9 * (np.where(np.isfinite(qq), qq, 0.0) + top) + 1e-300
+        i, j = np.nonzero(near <= np.where(np.isnan(kth), np.inf, kth + room)[:, None])
+        with np.errstate(invalid="ignore", over="ignore"):
+            d = np.concatenate([np.sqrt(((q[i[s:s + PIECE]] - P[j[s:s + PIECE]]) ** 2).sum(-1))
+                                for s in range(0, len(i), PIECE)] or [np.zeros(0)])
+        best = np.lexsort((ids[j], d, i))
+        i, j, d = i[best], j[best], d[best]
+        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+        out.append((i[keep] + lo, order[j[keep]], d[keep]))
+    return [np.concatenate(x) for x in zip(*out)]
 
 
 def _top_ids(pts: DataFrame, k: int, salts: int = 64) -> DataFrame:
@@ -121,17 +164,9 @@ def _knn_distinct(queries: DataFrame, points: DataFrame, k: int, tree, spark) ->
     def local(key, qdf: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
         if qdf.empty or pdf.empty:
             return pd.DataFrame({"qh": [], "nh": [], "dist": []})
-        Q = np.vstack(qdf["qv"].to_numpy())
-        P = np.vstack(pdf["v"].to_numpy())
-        hs = pdf["h"].to_numpy()
-        d = np.sqrt(np.maximum(((Q[:, None, :] - P[None, :, :]) ** 2).sum(-1), 0.0))
-        rows = []
-        for i, qh in enumerate(qdf["qh"].to_numpy()):
-            keep = hs != qh
-            di, hi = d[i][keep], hs[keep]
-            for j in np.lexsort((hi, di))[:k]:
-                rows.append((int(qh), int(hi[j]), float(di[j])))
-        return pd.DataFrame(rows, columns=["qh", "nh", "dist"])
+        qh, ph = qdf["qh"].to_numpy(np.int64), pdf["h"].to_numpy(np.int64)
+        i, j, d = _nearest(np.vstack(qdf["qv"].to_numpy()), qh, np.vstack(pdf["v"].to_numpy()), ph, k)
+        return pd.DataFrame({"qh": qh[i], "nh": ph[j], "dist": d})
 
     w = Window.partitionBy("qh").orderBy("dist", "nh")
     # leaf-local candidates: leaves are bounded by construction
@@ -143,12 +178,26 @@ def _knn_distinct(queries: DataFrame, points: DataFrame, k: int, tree, spark) ->
 
     @F.pandas_udf("array<long>")
     def reach(v: pd.Series, r: pd.Series, own: pd.Series) -> pd.Series:
-        return pd.Series([[x for x in _ball_leaves(np.asarray(vec), float(rad), tb.value) if x != o]
-                          for vec, rad, o in zip(v, r, own)])
+        if not len(v):
+            return pd.Series([], dtype=object)
+        hit = _ball_leaves(np.vstack(v.to_numpy()), r.to_numpy(float), tb.value)
+        number = np.cumsum(tb.value[4] >= 0) - 1
+        more = hit.sum(axis=1) > hit[np.arange(len(v)), number[own.to_numpy(np.int64)]]
+        hit = np.logical_or.reduceat(hit, np.arange(0, hit.shape[1], GROUP_LEAVES), axis=1) & more[:, None]
+        return pd.Series([np.flatnonzero(row) for row in hit], dtype=object)
+
+    @F.pandas_udf("long")
+    def group(leaf: pd.Series) -> pd.Series:
+        return pd.Series((np.cumsum(tb.value[4] >= 0) - 1)[leaf.to_numpy(np.int64)] // GROUP_LEAVES)
 
     # certification: queries whose k-th distance crosses a splitting hyperplane
-    extra = qr.withColumn("leaves", reach("qv", "r", "leaf")).select("qh", "qv", F.explode("leaves").alias("leaf"))
-    second = extra.groupBy("leaf").cogroup(pts.groupBy("leaf")).applyInPandas(local, schema)
+    # go once to every group of leaves that their ball reaches, in slices
+    slices = max(1, -(-queries.count() // SLICE))
+    extra = qr.withColumn("g", F.explode(reach("qv", "r", "leaf"))).select(
+        "qh", "qv", "g", F.pmod(F.xxhash64("qh"), F.lit(slices)).alias("s"))
+    dealt = pts.select("h", "v", group("leaf").alias("g"),
+                       F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("s"))
+    second = extra.groupBy("g", "s").cogroup(dealt.groupBy("g", "s")).applyInPandas(local, schema)
     allc = first.select("qh", "nh", "dist").unionByName(second).dropDuplicates(["qh", "nh"])
     return allc.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
