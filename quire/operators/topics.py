@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.text import explode_rows, stable_round
 
 GRAM_ROWS = 256  # dense rows held at once by a task
+NMF_ROWS = 1024  # documents updated at once by a task
 
 
 # --------------------------------------------------------------- reports
@@ -306,65 +307,86 @@ def lsi(vectors: DataFrame, k: int, *, features: str = "features", id_col: str =
     return concepts, s, docs
 
 
+def _nmf_pass(id_col: str, Hs: list, k: int, V: int, eps: float, out_w: bool):
+    """The Arrow function of one pass of ``nmf`` over documents ``(id, ids, values,
+    start)``: every document's factors from their start and the ``H`` of all
+    iterations so far.  Yields the factors, or W'X and W'W summed over the task."""
+    import numpy as np
+    import pyarrow as pa
+
+    steps = [(H, H @ H.T) for H in Hs]
+
+    def run(batches):
+        wtx, wtw = np.zeros((k, V)), np.zeros((k, k))
+        for batch in batches:
+            for at in range(0, batch.num_rows, NMF_ROWS):
+                part = batch.slice(at, NMF_ROWS)
+                n = part.num_rows
+                row = np.repeat(np.arange(n), part.column(1).value_lengths().to_numpy())
+                term = part.column(1).flatten().to_numpy()
+                value = part.column(2).flatten().to_numpy()
+                w = part.column(3).flatten().to_numpy().reshape(n, k)
+                for H, HHt in steps:
+                    xh = np.stack([np.bincount(row, value * h[term], n) for h in H], axis=1)
+                    w = w * (xh / (w @ HHt + eps))
+                if out_w:
+                    ends = np.arange(n + 1, dtype=np.int32) * k
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, w.ravel())], [id_col, "w"])
+                else:
+                    wtw += w.T @ w
+                    for j in range(k):
+                        wtx[j] += np.bincount(term, value * w[row, j], V)
+        if not out_w:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * (V + k), dtype=np.int32)),
+                                              pa.array(np.concatenate([wtx.ravel(), wtw.ravel()]))], ["at", "v"])
+
+    return run
+
+
 def nmf(x: DataFrame, k: int, *, max_iter: int = 50, tol: float = 1e-4, seed: int = 222, id_col: str = "doc_id",
         eps: float = 1e-9):
     """M5 (Lee & Seung 2001, Frobenius): ``x`` is the long non-negative matrix
-    ``(doc_id, term_id, value)``.  W rows stay distributed as an array per
-    document; H (k x V), W'W and W'X are the only collected values (bounded by
-    the model size k x V).  Hash-seeded start, multiplicative updates,
-    lineage cut with ``checkpoint()`` (input once, W every iteration).  Returns
-    ``(W (doc_id, w array), H numpy k x V, objective history)``."""
+    ``(doc_id, term_id, value)``.  It is written once, as one row per document
+    with its terms, values and hash-seeded start.  Multiplicative updates touch
+    a document's factors only through its own row and H, so a pass rebuilds them
+    from the start and the H of the iterations so far (k x V each); nothing of
+    the size of X or W is moved or written again.  An iteration is one pass that
+    returns W'X (k x V) and W'W, summed in every task first; H is kept on the
+    driver (bounded by the model size).  Returns ``(W (doc_id, w array), H numpy
+    k x V, objective history)``."""
     import numpy as np
 
-    # the input is read several times per iteration: write it once
-    x = x.select(id_col, F.col("term_id").cast("int").alias("term_id"), F.col("value").cast("double").alias("value")).checkpoint()
-    V = int(x.agg(F.max("term_id")).first()[0]) + 1
-    docs = x.select(id_col).distinct()
+    cells = F.struct(F.col("term_id").cast("int").alias("t"), F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("v"))
     u = lambda j: (F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(j)), F.lit(1_000_003)).cast("double") / 1_000_003.0 + 0.01)
-    W = docs.select(id_col, F.array(*[u(j) for j in range(k)]).alias("w"))
+    docs = x.groupBy(id_col).agg(F.collect_list(cells).alias("_c")).select(
+        id_col, F.array(*[u(j) for j in range(k)]).alias("start"), F.col("_c.t").alias("_t"), F.col("_c.v").alias("_v"),
+    ).checkpoint()
+    size = docs.agg(F.max(F.array_max("_t")), F.sum(F.aggregate("_v", F.lit(0.0), lambda a, v: a + v * v))).first()
+    V, xx = int(size[0]) + 1, float(size[1])
+    # a row without id belongs to no document: it keeps no entries
+    known = lambda c: F.when(F.col(id_col).isNotNull(), F.col(c)).otherwise(F.array().cast(docs.schema[c].dataType))
+    docs = docs.select(id_col, known("_t").alias("ids"), known("_v").alias("values"), "start")
+
+    def sums(Hs):
+        got = docs.mapInArrow(_nmf_pass(id_col, Hs, k, V, eps, False), "at int, v double").groupBy("at").agg(F.sum("v").alias("v"))
+        flat = np.zeros(k * (V + k))
+        for r in got.collect():
+            flat[r["at"]] = r["v"]
+        return flat[:k * V].reshape(k, V), flat[k * V:].reshape(k, k)
+
     rng = np.random.default_rng(seed)
     H = rng.random((k, V)) + 0.01
-    xx = float(x.agg(F.sum(F.col("value") * F.col("value"))).first()[0])
-    history = []
-    spark = x.sparkSession
+    history, Hs = [], []
+    WtX, WtW = sums(Hs)
     for it in range(max_iter):
-        # H update: needs W'X (k x V) and W'W (k x k)
-        wx = x.join(W, id_col).select("term_id", F.posexplode(F.transform("w", lambda a: a * F.col("value"))).alias("topic", "v")) \
-            .groupBy("topic", "term_id").agg(F.sum("v").alias("v")).collect()
-        WtX = np.zeros((k, V))
-        for r in wx:
-            WtX[r["topic"], r["term_id"]] = r["v"]
-        wtw_row = W.select(F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(k - 1)).alias("i"), F.col("w").alias("wi"))).alias("z"), "w")
-        WtW = np.zeros((k, k))
-        for r in wtw_row.select(F.col("z.i").alias("i"), F.posexplode(F.transform("w", lambda b: b * F.col("z.wi"))).alias("j", "v")) \
-                .groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
-            WtW[r["i"], r["j"]] = r["v"]
         H = H * WtX / (WtW @ H + eps)
-        # W update: W <- W * (X H') / (W H H'); X H' per document from the broadcast H
-        HHt = H @ H.T
-        Hb = spark.sparkContext.broadcast(H.T.tolist())
-        ht = spark.createDataFrame([(t, [float(v) for v in row]) for t, row in enumerate(Hb.value)], "term_id int, h array<double>")
-        xh = x.join(F.broadcast(ht) if V <= 200_000 else ht, "term_id").groupBy(id_col).agg(
-            F.array(*[F.sum(F.col("value") * F.col("h")[j]) for j in range(k)]).alias("xh"))
-        hht = F.array(*[F.array(*[F.lit(float(HHt[i, j])) for j in range(k)]) for i in range(k)])
-        W2 = W.join(xh, id_col, "left").select(id_col, F.transform("w", lambda wi, i: wi * F.coalesce(F.col("xh")[i], F.lit(0.0)) / (
-            F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.col("w")[j] * hht[j][i]),
-                        F.lit(0.0), lambda a, b: a + b) + eps)).alias("w"))
-        # W is small (documents x k); writing it each iteration keeps every
-        # job's lineage one iteration deep
-        W = W2.checkpoint()
+        Hs.append(H)
+        WtX, WtW = sums(Hs)  # of the new W: for the objective, and for the next H
         # objective ||X - WH||^2 = ||X||^2 - 2 tr(W'XH') + tr(W'W HH')
-        WtW2 = np.zeros((k, k))
-        for r in W.select(F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(k - 1)).alias("i"), F.col("w").alias("wi"))).alias("z"), "w") \
-                .select(F.col("z.i").alias("i"), F.posexplode(F.transform("w", lambda b: b * F.col("z.wi"))).alias("j", "v")) \
-                .groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
-            WtW2[r["i"], r["j"]] = r["v"]
-        wxh = x.join(W, id_col).join(F.broadcast(ht) if V <= 200_000 else ht, "term_id").select(
-            (F.col("value") * F.aggregate(F.zip_with("w", "h", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)).alias("v")) \
-            .agg(F.sum("v")).first()[0] or 0.0
-        obj = xx - 2 * wxh + float(np.sum(WtW2 * HHt))
+        obj = xx - 2 * float(np.sum(WtX * H)) + float(np.sum(WtW * (H @ H.T)))
         history.append(obj)
-        Hb.unpersist()
         if len(history) > 1 and abs(history[-2] - obj) <= tol * max(abs(history[-2]), 1e-12):
             break
+    id_type = docs.schema[id_col].dataType.simpleString()
+    W = docs.mapInArrow(_nmf_pass(id_col, Hs, k, V, eps, True), f"`{id_col}` {id_type}, w array<double>")
     return W, H, history
