@@ -7,16 +7,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.partitioning import by_key
+from ..functions.partitioning import by_key, spread
 from ..functions.text import alpha_lower, word_tokens
 from ..operators import topics as M
 from ..operators import vectors as X
+from ..session import stored
 from . import sqlfrag as S
 from .registry import Tables, register
 
 N_TOP = 20
 N_COH = 10
 CV_WINDOW = 110
+SWEEP_GROUPS = ("lang", "source")
 _ALPHA = S.alpha_lower(S.word_tokens("text"))
 
 
@@ -143,18 +145,26 @@ def q_cv(spark, sf):
 
 
 def sweep_scores(spark, sf) -> DataFrame:
-    t = tokens(spark, sf)
+    """(k, measure, score) of the topics by language and by source.  The topics
+    of both groups are counted and scored together: one pass over the documents
+    for the topics and one for both measures, which share the dealt tokens."""
+    d = spread(Tables(spark, sf).documents.select("doc_id", "text", "lang", "source"), "doc_id")
+    # dealt as one string a document, half the bytes of an array of its words
+    d = d.select("doc_id", "lang", "source", F.array_join(alpha_lower(word_tokens("text")), " ").alias("_t"))
+    words = F.when(F.col("_t") == "", F.array().cast("array<string>")).otherwise(F.split("_t", " "))
+    t = by_key(d, "doc_id").select("doc_id", "lang", "source", words.alias("tokens"))
     b = X.bow(t)
-    out = None
-    for group in ("lang", "source"):
-        topics = M.term_shares(b, t.select("doc_id", F.col(group).alias("topic")))
-        top = M.top_words(topics, N_COH)
-        k = topics.agg(F.countDistinct("topic").cast("long").alias("k"))
-        um = M.coherence_umass(top, b).agg(F.avg("coherence").alias("score")).withColumn("measure", F.lit("u_mass"))
-        cv = M.coherence_cv(top, t, window=CV_WINDOW).agg(F.avg("coherence").alias("score")).withColumn("measure", F.lit("c_v"))
-        s = um.unionByName(cv).crossJoin(k)
-        out = s if out is None else out.unionByName(s)
-    return out
+    kinds = [F.struct(F.lit(g).alias("by"), F.col(g).alias("topic")) for g in SWEEP_GROUPS]
+    groups = t.select("doc_id", F.explode(F.array(*kinds)).alias("topic")).filter("topic.topic IS NOT NULL")
+    top = stored(M.top_words(M.term_shares(b, groups), N_COH), "sweep-topics")  # N_COH words a topic
+    ks = top.groupBy(F.col("topic.by").alias("by")).agg(F.countDistinct("topic.topic").cast("long").alias("k"))
+    out = spark.createDataFrame([(g, m) for g in SWEEP_GROUPS for m in ("u_mass", "c_v")], "by string, measure string")
+    scores = None
+    for measure, found in (("u_mass", M.coherence_umass(top, b)), ("c_v", M.coherence_cv(top, t, window=CV_WINDOW))):
+        s = found.groupBy(F.col("topic.by").alias("by")).agg(F.avg("coherence").alias("score")).withColumn("measure", F.lit(measure))
+        scores = s if scores is None else scores.unionByName(s)
+    out = out.join(F.broadcast(scores), ["by", "measure"], "left").join(F.broadcast(ks), "by", "left")
+    return out.select("score", "measure", F.coalesce("k", F.lit(0).cast("long")).alias("k"))
 
 
 _SWEEP_SQL = f"""
