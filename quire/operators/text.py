@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,10 +63,21 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 FOLD_FROM, FOLD_TO, FOLD_MULTI = _fold_tables()
 
 
+def _folded(texts: pa.Array) -> pa.Array:
+    """The tables' rule itself: what the compatibility decomposition of each
+    character has in ASCII.  The marks that a decomposition of the whole text may
+    reorder are not ASCII."""
+    fold = lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode("ascii")
+    return pa.array((None if t is None else fold(t) for t in texts.to_pylist()), pa.string())
+
+
 def ascii_fold_col(text) -> Column:
-    one = F.translate(c(text), FOLD_FROM, FOLD_TO)
-    many = replace_many_col(one, FOLD_MULTI)
-    return F.regexp_replace(many, P.NON_ASCII, "")
+    """The tables have some two thousand characters, too many for a pattern or
+    a map to be tried at every position: Python decomposes in one pass.  Texts
+    of ASCII only stay in the JVM."""
+    ascii_only = F.octet_length(c(text)) == F.length(c(text))
+    fold = F.arrow_udf(_folded, "string")
+    return F.when(ascii_only, c(text)).otherwise(fold(F.when(~ascii_only, c(text))))
 
 
 def ascii_fold(df: DataFrame, *, col: str = "text", out: str | None = None) -> DataFrame:
