@@ -87,12 +87,14 @@ def test_occurrences_are_not_multiplied_by_pairs(spark):
 
 def test_shuffle_files_go_with_their_action(spark, tmp_path):
     d = spark.range(100).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
-    key, files = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", f"{spark.conf.get('spark.local.dir', '/tmp')}/blockmgr-*/*/shuffle_*"
-    was, before = spark.conf.get(key), set(glob.glob(files))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in own for f in glob.glob(f"{d}/*/shuffle_*")}
+    was, before = spark.conf.get(key), files()
     ensure_checkpoint_dir(spark)
     with freed_shuffles(spark):
         assert spark.conf.get(key) == "true" and d.select("k").checkpoint().rdd.count() == 7
     until = time.time() + 10  # they go in the background
-    while (left := set(glob.glob(files)) - before) and time.time() < until:
+    while (left := files() - before) and time.time() < until:
         time.sleep(0.1)
     assert spark.conf.get(key) == was and not left
